@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.columns import null_safe_join, require
+from siltstone.functions.columns import require
 
 CHANGE = "_change_type"
 
@@ -15,16 +15,18 @@ CHANGE = "_change_type"
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that differ, with ``_change_type`` insert, delete, update_preimage or update_postimage.
 
-    Rows are first netted against each other as a multiset (copies collapse before the
-    shuffle and nothing is paired), so only changed rows reach the classification by key.
+    ``keys`` identifies a row within each version.  Rows are first netted against each other as
+    a multiset (copies collapse before the shuffle and nothing is paired), so only changed rows,
+    two per key at most, reach the classification.
     """
     require(old, keys, "change_feed")
     if set(old.columns) != set(new.columns):
         raise ValueError("change_feed compares tables with the same columns")
     both = old.withColumn("_sign", F.lit(-1)).unionByName(new.withColumn("_sign", F.lit(1)))
     changed = both.groupBy(*old.columns).agg(F.sum("_sign").alias("_net")).where("_net <> 0")
-    per_key = changed.groupBy(*keys).agg(
-        F.max(F.col("_net") < 0).alias("_gone"), F.max(F.col("_net") > 0).alias("_came")
+    key = Window.partitionBy(*keys)
+    changed = changed.withColumns(
+        {"_gone": F.max(F.col("_net") < 0).over(key), "_came": F.max(F.col("_net") > 0).over(key)}
     )
     kinds = (
         F.when(F.col("_gone") & F.col("_came"), F.when(F.col("_net") < 0, "update_preimage").otherwise("update_postimage"))
@@ -32,7 +34,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         .otherwise("delete")
     )
     copies = F.array_repeat(kinds, F.abs("_net").cast("int"))
-    return null_safe_join(changed, per_key, keys, "inner").select(*old.columns, F.explode(copies).alias(CHANGE))
+    return changed.select(*old.columns, F.explode(copies).alias(CHANGE))
 
 
 def apply_feed(table: DataFrame, feed: DataFrame) -> DataFrame:

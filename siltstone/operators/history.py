@@ -10,36 +10,42 @@ from pyspark.sql import functions as F
 from siltstone.functions.columns import holds, null_safe_join, require
 from siltstone.operators.conform import latest
 from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, split_heavy
+from siltstone.session import saved
 
 START, END, DELETED = "__START_AT", "__END_AT", "__DELETED"
 
 
-def _adjacent(
-    df: DataFrame, name: str, row: Sequence[str], keys: Sequence[str], order: Sequence[str],
-    offset: int, segment: str | None,
+def _beside(
+    df: DataFrame, row: Sequence[str], keys: Sequence[str], order: Sequence[str], segment: str | None,
+    before: str | None = None, after: str | None = None,
 ) -> DataFrame:
-    """Adds ``name``: struct of ``row`` from the next (1) or previous (-1) row of the key.
+    """Adds structs of ``row`` from the key's previous row (named ``before``) and next (``after``).
 
-    The struct is NULL only where there is no such row.  With a segment column the window runs
-    inside one segment; a segment's outermost row takes its neighbour from the edge rows, of
-    which there is one per key and segment.
+    A struct is NULL only where there is no such row.  With a segment column the windows run
+    inside one segment; a segment's outermost rows take their neighbour from the edge rows, of
+    which there is one pair per key and segment.
     """
     value = F.struct(*row)
     parts = [*keys, segment] if segment else list(keys)
     inside = Window.partitionBy(*parts).orderBy(*order)
-    step = F.lead if offset > 0 else F.lag
-    df = df.withColumn(name, step(value).over(inside))
+    found = {}
+    if before:
+        found[before] = F.lag(value).over(inside)
+    if after:
+        found[after] = F.lead(value).over(inside)
+    out = df.withColumns(found)
     if not segment:
-        return df
-    nearest = F.min_by if offset > 0 else F.max_by
+        return out
+    position = F.struct(*order)
     across = Window.partitionBy(*keys).orderBy(segment)
     edges = (
         df.groupBy(*parts)
-        .agg(nearest(value, F.struct(*order)).alias("_edge"))
-        .select(*parts, step("_edge").over(across).alias("_edge"))
+        .agg(F.min_by(value, position).alias("_first"), F.max_by(value, position).alias("_last"))
+        .select(*parts, F.lag("_last").over(across).alias("_ahead"), F.lead("_first").over(across).alias("_behind"))
     )
-    joined = null_safe_join(df, edges, parts, "left")
-    return joined.withColumn(name, F.coalesce(name, "_edge")).drop("_edge")
+    out = null_safe_join(out, edges, parts, "left")
+    outer = {name: F.coalesce(name, edge) for name, edge in ((before, "_ahead"), (after, "_behind")) if name}
+    return out.withColumns(outer).drop("_ahead", "_behind")
 
 
 def _versions(
@@ -49,33 +55,32 @@ def _versions(
     """One row per run of equal ``state`` along the sequence of a key.
 
     All windows share one partitioning and one sort order, so an unsegmented plan has a
-    single shuffle and a single sort.
+    single shuffle and a single sort.  Segmented rows must be unique in key and sequence.
     """
-    order = [sequence, *ties]
-
-    def look(df: DataFrame, name: str, row: Sequence[str], offset: int) -> DataFrame:
-        return _adjacent(df, name, row, keys, order, offset, segment)
-
-    # Of rows equal in key and sequence the last by tie-breaker counts.
-    rows = look(rows, "_next", [sequence], 1)
-    rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
-
-    # NULL-safe comparison: NULL against a value is a change, NULL against NULL is none.
-    rows = look(rows, "_previous", state, -1)
-    opens = F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(F.struct(*state))
-    if not carried:
-        runs = rows.where(opens)
-    else:
-        # Columns outside the tracked set keep the value of the run's last row: keep the first
-        # and last row of each run, then let the first look at the one after it.
-        rows = look(rows, "_next", state, 1)
-        closes = F.col("_next").isNull() | ~F.col("_next").eqNullSafe(F.struct(*state))
-        ends = rows.withColumn("_opens", opens).withColumn("_closes", closes).where("_opens OR _closes")
-        ends = look(ends, "_last", carried, 1).where("_opens")
-        runs = ends.withColumns(
-            {c: F.when(F.col("_closes"), F.col(c)).otherwise(F.col(f"_last.{c}")) for c in carried}
+    at = dict(keys=keys, order=[sequence, *ties], segment=segment)
+    if not segment:
+        # Of rows equal in key and sequence the last by tie-breaker counts.
+        rows = _beside(rows, [sequence], after="_next", **at)
+        rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
+
+    def differs(other: str) -> Column:
+        # NULL-safe: NULL against a value is a change, NULL against NULL is none.
+        return F.col(other).isNull() | ~F.col(other).eqNullSafe(F.struct(*state))
+
+    # Columns outside the tracked set keep the value of the run's last row, so both ends of a
+    # run stay and the first then looks at the one after it.
+    rows = _beside(rows, state, before="_previous", after="_next" if carried else None, **at)
+    rows = rows.withColumn("_opens", differs("_previous"))
+    rows = rows.withColumn("_closes", differs("_next") if carried else F.lit(False))
+    ends = rows.where("_opens OR _closes").drop("_previous", "_next")
+    if segment:
+        ends = saved(ends)
+    if carried:
+        ends = _beside(ends, carried, after="_end", **at).where("_opens")
+        ends = ends.withColumns(
+            {c: F.when(F.col("_closes"), F.col(c)).otherwise(F.col(f"_end.{c}")) for c in carried}
         )
-    runs = look(runs, "_next", [sequence], 1)
+    runs = _beside(ends, [sequence], after="_next", **at)
     return runs.withColumn(START, F.col(sequence)).withColumn(END, F.col(f"_next.{sequence}"))
 
 

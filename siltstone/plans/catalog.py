@@ -2,14 +2,17 @@
 
 Grain, columns and measures are fixed values.  How they are computed is chosen for large
 tables: a fact that is only summed up is first summed by its join key, and customers are joined
-to orders before orders fan out to items.
+to orders before orders fan out to items.  Prices have two decimals, so partial sums run in whole
+cents, which hash aggregation holds as plain longs; an overflow is an error, never a wrap.
 """
 
 from __future__ import annotations
 
 from siltstone.plans.marts import Join, MartSpec, Source
 
-_AVG = "CAST(try_divide(SUM(oi.price_sum), SUM(oi.price_count)) AS DECIMAL(14,6))"
+_PRICE_CENTS = "SUM(CAST(price * 100 AS BIGINT)) AS price_cents"
+_REVENUE = "CAST(SUM(oi.price_cents) * 0.01BD AS DECIMAL(20,2))"
+_AVG_PRICE = "CAST(try_divide(SUM(oi.price_cents) * 0.01BD, SUM(oi.price_count)) AS DECIMAL(14,6))"
 
 FACT_SALES_SUMMARY = MartSpec(
     name="fact_sales_summary",
@@ -88,9 +91,9 @@ AGG_DAILY_SALES = MartSpec(
             group_by=("order_id",),
             measures=(
                 "COUNT(order_item_id) AS items",
-                "SUM(price) AS price_sum",
+                _PRICE_CENTS,
                 "COUNT(price) AS price_count",
-                "SUM(freight_value) AS freight_sum",
+                "SUM(CAST(freight_value * 100 AS BIGINT)) AS freight_cents",
             ),
         ),
     ),
@@ -99,9 +102,9 @@ AGG_DAILY_SALES = MartSpec(
         "TO_DATE(o.order_purchase_timestamp) AS sale_date",
         "COUNT(DISTINCT o.order_id) AS total_orders",
         "SUM(oi.items) AS total_items",
-        "CAST(SUM(oi.price_sum) AS DECIMAL(20,2)) AS total_revenue",
-        "CAST(SUM(oi.freight_sum) AS DECIMAL(20,2)) AS total_freight",
-        f"{_AVG} AS avg_item_price",
+        f"{_REVENUE} AS total_revenue",
+        "CAST(SUM(oi.freight_cents) * 0.01BD AS DECIMAL(20,2)) AS total_freight",
+        f"{_AVG_PRICE} AS avg_item_price",
     ),
     group_by=("TO_DATE(o.order_purchase_timestamp)",),
     partition_by=("sale_date",),
@@ -117,7 +120,7 @@ AGG_PRODUCT_PERFORMANCE = MartSpec(
             group_by=("product_id",),
             measures=(
                 "COUNT(order_item_id) AS items",
-                "SUM(price) AS price_sum",
+                _PRICE_CENTS,
                 "COUNT(price) AS price_count",
                 "MIN(price) AS price_min",
                 "MAX(price) AS price_max",
@@ -130,8 +133,8 @@ AGG_PRODUCT_PERFORMANCE = MartSpec(
         "oi.product_id",
         "p.product_category_name",
         "SUM(oi.items) AS total_units_sold",
-        "CAST(SUM(oi.price_sum) AS DECIMAL(20,2)) AS total_revenue",
-        f"{_AVG} AS avg_price",
+        f"{_REVENUE} AS total_revenue",
+        f"{_AVG_PRICE} AS avg_price",
         "MIN(oi.price_min) AS min_price",
         "MAX(oi.price_max) AS max_price",
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans here rely on.  Sizes (shuffle partitions, broadcast
 # limit, split size) stay with the cluster: AQE coalesces and splits from there.
@@ -38,3 +38,12 @@ def workspace(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="siltstone-")
     return f"{root.rstrip('/')}/siltstone/{purpose}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that later steps start from there even
+    when executors are lost."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(workspace(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
