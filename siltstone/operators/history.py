@@ -91,27 +91,31 @@ def scd2(
     ties: Sequence[str] = (),
     deletes: str | Column | None = None,
     except_columns: Sequence[str] = (),
-    tracked: Sequence[str] = (),
+    tracked: Sequence[str] | None = None,
     keep_deletes: bool = False,
-    split_floor: int = SPLIT_FLOOR,
+    split_floor: int | None = SPLIT_FLOOR,
 ) -> DataFrame:
     """Type 2 history of a change feed: one row per key version, valid in [start, end).
 
     The order of arrival plays no part, only ``sequence``; ``ties`` decides between rows equal
     in key and sequence.  A row matching ``deletes`` closes the version before it and opens
-    none; with ``keep_deletes`` it stays as a row flagged ``__DELETED``.
+    none; with ``keep_deletes`` it stays as a row flagged ``__DELETED``.  With ``tracked`` only
+    those columns open a version and the others are updated in place.
+
+    One extra pass over the key columns looks for keys too large for one task (more rows than
+    ``split_floor`` and than a fair share); ``split_floor=None`` skips it.
     """
-    require(df, [*keys, sequence, *ties, *except_columns, *tracked], "scd2")
+    require(df, [*keys, sequence, *ties, *except_columns, *(tracked or ())], "scd2")
     kept = [c for c in df.columns if c not in except_columns]
     rows = df.withColumn(DELETED, holds(deletes) if deletes is not None else F.lit(False))
     rows = rows.select(*dict.fromkeys([*kept, *keys, sequence, *ties, DELETED]))
 
     values = [c for c in kept if c not in keys and c != sequence]
-    state = [DELETED, *(c for c in values if not tracked or c in tracked)]
+    state = [DELETED, *(c for c in values if tracked is None or c in tracked)]
     carried = [c for c in values if c not in state]
     args = (list(keys), sequence, list(ties), state, carried)
 
-    ordinary, heavy = split_heavy(rows, keys, sequence, split_floor)
+    ordinary, heavy = (rows, None) if split_floor is None else split_heavy(rows, keys, sequence, split_floor)
     history = _versions(ordinary, *args, None)
     wanted = [*kept, START, END, *([DELETED] if keep_deletes else [])]
     visible = F.lit(True) if keep_deletes else ~F.col(DELETED)

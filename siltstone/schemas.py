@@ -17,7 +17,7 @@ class TableSpec:
     """One silver table.
 
     ``columns`` maps a name to its silver type; ``None`` passes the source type through.
-    ``tracked`` lists the columns whose change opens a new version (all when empty).
+    ``tracked`` lists the columns whose change opens a new version (all when None).
     ``rules`` are named SQL predicates a row must satisfy.
     """
 
@@ -26,7 +26,7 @@ class TableSpec:
     keys: tuple[str, ...] = ()
     sequence: str | None = None
     strategy: str = "incremental"
-    tracked: tuple[str, ...] = ()
+    tracked: tuple[str, ...] | None = None
     deletes: str | None = None
     upper: tuple[str, ...] = ()
     rules: dict[str, str] = field(default_factory=dict)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import require
+from siltstone.operators.cluster import by_folder
 from siltstone.schemas import LoadSpec
 from siltstone.sources.store import LoadStore, instant
 
@@ -44,10 +45,13 @@ def _typed(rows: DataFrame, load: LoadSpec, text: str) -> Column:
 
 def ingest(
     spark: SparkSession, source, load: LoadSpec, store: LoadStore, overlap: str | None = None,
-    include_null: bool = False, count_nulls: bool = False,
+    include_null: bool = False, count_nulls: bool = False, gather: bool = False,
 ) -> dict:
     """Runs one load and returns its status row.
 
+    Output files follow the source's partitions.  ``gather`` shuffles an increment into files of
+    AQE's advisory size first: worth it for a small increment picked from very many partitions.
+
     Rows, count and new watermark come from one pass over the extract, so the watermark never
     runs ahead of what was copied.  It never moves back, and a load without rows commits nothing.
     """
@@ -66,7 +70,7 @@ def ingest(
         # A backdate beyond the watermark leaves unread rows between the two.
         "gap": F.max(_typed(rows, load, lower_bound(load, last)) > previous),
     }
-    facts = store.write(data, load.table, load_id, metrics)
+    facts = store.write(by_folder(data, []) if gather else data, load.table, load_id, metrics)
     if facts["rows"] == 0:
         return _status(load, 0, last)
     if count_nulls:

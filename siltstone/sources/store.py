@@ -23,13 +23,14 @@ LEDGER = T.StructType(
     [
         T.StructField("table", T.StringType()),
         T.StructField("load_id", T.StringType()),
-        T.StructField("strategy", T.StringType()),  # full | incremental | parts
+        T.StructField("strategy", T.StringType()),  # full | incremental
         T.StructField("rows", T.LongType()),
         T.StructField("cdc", T.StringType()),
         T.StructField("lower_bound", T.StringType()),
         T.StructField("gap", T.BooleanType()),
         T.StructField("null_cdc_rows", T.LongType()),
-        T.StructField("parts", T.ArrayType(T.StringType())),
+        T.StructField("cleared", T.ArrayType(T.StringType())),  # folders whose older rows no longer count
+        T.StructField("folders", T.ArrayType(T.StringType())),  # folders this load wrote, if listed
         T.StructField("schema", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
@@ -73,7 +74,7 @@ class LoadStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.data(table, load_id))
-        return {**seen.get, "schema": T.StructType(df.schema.fields).json()}
+        return {**seen.get, "schema": df.schema.json()}
 
     def commit(self, table: str, load_id: str, strategy: str, **facts) -> dict:
         """Appends the ledger row that makes a load visible."""
@@ -90,12 +91,20 @@ class LoadStore:
 
     def put(
         self, df: DataFrame, table: str, load_id: str | None = None, strategy: str = "incremental",
-        partition_by: Sequence[str] = (), parts: Sequence[str] | None = None,
+        partition_by: Sequence[str] = (), cleared: Sequence[str] | None = None,
     ) -> dict:
-        """Write and commit in one step."""
+        """Write and commit in one step.
+
+        With ``cleared`` the load also replaces: rows that older loads hold in those folders
+        (such as ``"bucket=3"``) no longer count.  The folders it writes are then listed.
+        """
         load_id = load_id or instant()
-        facts = self.write(df, table, load_id, partition_by=partition_by)
-        return self.commit(table, load_id, strategy, parts=list(parts) if parts is not None else None, **facts)
+        metrics = None
+        if cleared is not None:
+            named = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by]
+            metrics = {"folders": F.collect_set(F.concat_ws("/", *named))}  # one entry per folder
+        facts = self.write(df, table, load_id, metrics, partition_by)
+        return self.commit(table, load_id, strategy, cleared=None if cleared is None else list(cleared), **facts)
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -142,9 +151,10 @@ class LoadStore:
         schema = None
         for load in loads:
             schema = evolve(schema, T.StructType.fromJson(json.loads(load.schema)))
-        paths = _replaced(loads, self.data(table))
-        reader = self.spark.read.schema(schema).option("basePath", self.data(table))
-        df = reader.parquet(*paths)
+        paths = _folders(loads, self.data(table))
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths)
         if where:
             df = df.where(where)
         return df.select(*schema.fieldNames())
@@ -162,7 +172,7 @@ class LoadStore:
     def vacuum(self, table: str, older_than_hours: float = 24.0) -> list[str]:
         """Deletes load folders no reader of the committed table opens: failed and empty loads,
         drafts and replaced versions.  Younger folders stay, as a job may still use them."""
-        used = {p.split("/load_id=")[1].split("/")[0] for p in _replaced(self.visible(table), self.data(table))}
+        used = {p.split("/load_id=")[1].split("/")[0] for p in _folders(self.visible(table), self.data(table))}
         base = self.spark._jvm.org.apache.hadoop.fs.Path(self.data(table))
         files = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
         limit = (datetime.now(timezone.utc).timestamp() - older_than_hours * 3600) * 1000
@@ -175,11 +185,15 @@ class LoadStore:
         return sorted(dropped)
 
 
-def _replaced(loads: Sequence, base: str) -> list[str]:
-    """Folders to read: whole loads, and for loads made of parts the newest one of each part."""
-    newest = {}
+def _folders(loads: Sequence, base: str) -> list[str]:
+    """Folders to read: whole loads, or of loads that list their folders those still counting."""
+    found = {}
     for load in loads:
-        for part in load.parts if load.parts is not None else [""]:
-            key = part or load.load_id
-            newest[key] = f"{base}/load_id={load.load_id}" + (f"/{part}" if part else "")
-    return list(newest.values())
+        whole = f"{base}/load_id={load.load_id}"
+        for part in load.cleared or []:
+            found[part] = []
+        if load.folders is None:
+            found[whole] = [whole]
+        for part in load.folders or []:
+            found.setdefault(part, []).append(f"{whole}/{part}")
+    return [path for paths in found.values() for path in paths]

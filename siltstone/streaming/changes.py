@@ -1,9 +1,11 @@
 """Applying a change stream to stored history, without row-level merge.
 
-Keys are spread over a fixed number of buckets.  A batch appends its rows to a change log and
-rebuilds only the buckets it touches, from the log, with the same operator a batch job would
-use; so any split and any order of arrival give the history of all changes together.  New
-buckets are written beside the old ones and one ledger row switches readers over.
+The history of a key is its open version plus versions already closed.  Changes that come after
+everything seen of their key need only the open version: the batch appends the versions it
+closes and rewrites the open ones of the buckets it touches.  A change that comes late may alter
+closed versions, so the bucket of its key is rebuilt from the change log, with the operator a
+batch job would use.  Any split and any order of arrival give the history of all changes
+together.  A batch becomes visible by one ledger row, so readers never see half of it.
 """
 
 from __future__ import annotations
@@ -15,22 +17,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.functions.columns import holds, null_safe_join
 from siltstone.operators.cluster import by_folder
 from siltstone.operators.conform import latest
-from siltstone.operators.history import DELETED, scd1, scd2
+from siltstone.operators.history import DELETED, END, START, scd1, scd2
 from siltstone.operators.skew import SPLIT_FLOOR
 from siltstone.sources.store import LoadStore
 from siltstone.streaming.files import start_batches
 
-BUCKET = "_bucket"
+BUCKET, OPEN, SEEN, GONE = "_bucket", "_open", "_seen", "_gone"
 
 
 @dataclass(frozen=True)
 class ChangeTarget:
     """A history (``scd_type`` 2) or latest-value (1) table named ``name`` in ``store``.
 
-    Choose ``buckets`` so that one bucket of the change log is some tens of GB at most: a batch
-    rewrites whole buckets.  It must not change during the life of the table.
+    Keys are spread over ``buckets``, which must not change during the life of the table.  A
+    batch rewrites the open versions of the buckets it touches, so choose enough buckets that
+    one bucket's open versions are a few GB at most.
     """
 
     store: LoadStore
@@ -40,10 +44,10 @@ class ChangeTarget:
     ties: Sequence[str] = ()
     deletes: str | None = None
     except_columns: Sequence[str] = ()
-    tracked: Sequence[str] = ()
+    tracked: Sequence[str] | None = None
     scd_type: int = 2
     buckets: int = 64
-    split_floor: int = SPLIT_FLOOR
+    split_floor: int | None = SPLIT_FLOOR
     fold_after: int = 200
 
     @property
@@ -53,57 +57,120 @@ class ChangeTarget:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
+    # -- applying --------------------------------------------------------------------------
+
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Applies one batch.  Running the same batch again changes nothing."""
         load_id = f"b{batch_id:09d}"
         if self.store.committed(self.name, load_id):
             return
         if not self.store.committed(self.log, load_id):
-            rows = changes.withColumn(BUCKET, self._bucket())
-            self.store.put(by_folder(rows, [BUCKET]), self.log, load_id, partition_by=[BUCKET])
-        mine = self.store.load(self.log, load_id)
-        touched = sorted(
-            r[0] for r in self.store.read(self.log, mine).select(BUCKET).distinct().collect()
-        )  # at most ``buckets`` small integers
+            rows = by_folder(changes.withColumn(BUCKET, self._bucket()), [BUCKET])
+            # A latest-value table never looks back, so only its newest batch stays visible.
+            strategy = "incremental" if self.scd_type == 2 else "full"
+            self.store.put(rows, self.log, load_id, strategy, partition_by=[BUCKET])
+        batch = self.store.read(self.log, self.store.load(self.log, load_id))
+        touched = _numbers(batch)
         if not touched:
             return
-        where = f"{BUCKET} IN ({', '.join(map(str, touched))})"
-        out = self._rebuild(where, load_id)
-        self.store.put(
-            by_folder(out, [BUCKET]), self.name, load_id, "parts",
-            partition_by=[BUCKET], parts=[f"{BUCKET}={b}" for b in touched],
-        )
-        if len(self.store.visible(self.log)) > self.fold_after:
-            self.compact()
-
-    def _rebuild(self, where: str, load_id: str) -> DataFrame:
-        rows = self.store.read(self.log, where=where)
-        # Deletes stay as flagged rows, so a touched bucket always has a folder.
-        kept = dict(keep_deletes=True, deletes=self.deletes, except_columns=self.except_columns)
         if self.scd_type == 1:
-            return scd1(rows, self.keys, self.sequence, self.ties, **kept)
-        return scd2(
-            rows, [*self.keys, BUCKET], self.sequence, self.ties, tracked=self.tracked,
-            split_floor=self.split_floor, **kept,
+            self._apply_latest(batch, touched, load_id)
+        else:
+            self._apply_history(batch, touched, load_id)
+        if max(len(self.store.visible(t)) for t in (self.log, self.name)) > self.fold_after:
+            self.fold()
+
+    def _apply_latest(self, batch: DataFrame, touched: list[int], load_id: str) -> None:
+        rows = batch.withColumn(GONE, self._gone())
+        if self._exists():
+            known = self.store.read(self.name, where=_among(touched)).withColumnRenamed(DELETED, GONE)
+            rows = rows.unionByName(known, allowMissingColumns=True)
+        # Sequence and tie-breakers stay stored: later batches are compared with them.
+        unused = [GONE, *(c for c in self.except_columns if c not in (self.sequence, *self.ties))]
+        out = scd1(
+            rows, [*self.keys, BUCKET], self.sequence, self.ties, deletes=F.col(GONE), except_columns=unused, keep_deletes=True
         )
-
-    def compact(self) -> None:
-        """Folds the change log into one load, leaving one row per key and sequence value.
-
-        Runs by itself after ``fold_after`` loads; a history built from the folded log is the same."""
-        loads = self.store.visible(self.log)
-        if len(loads) < 2:
-            return
-        rows = self.store.read(self.log, loads)
-        single = latest(rows, [*self.keys, BUCKET, self.sequence], [*self.ties] or [self.sequence])
-        self.store.put(
-            by_folder(single, [BUCKET]), self.log, f"{loads[-1].load_id}_folded", "full", partition_by=[BUCKET]
+        folders = [f"{BUCKET}={b}" for b in touched]
+        self.store.put(by_folder(out, [BUCKET]), self.name, load_id, partition_by=[BUCKET], cleared=folders)
+
+    def _apply_history(self, batch: DataFrame, touched: list[int], load_id: str) -> None:
+        late, ready, rows = [], touched, self._events(batch)
+        if self._exists():
+            known = self.store.read(self.name, where=f"{OPEN} AND {_among(touched)}")
+            late = self._late(batch, known)
+            ready = [b for b in touched if b not in late]
+            # The open version enters as a change at its start.
+            rows = rows.unionByName(known.withColumnRenamed(DELETED, GONE).drop(START, END, OPEN), allowMissingColumns=True)
+        out = None
+        if ready:
+            out = self._versions(rows.where(_among(ready)) if late else rows)
+        if late:
+            rebuilt = self._versions(self._events(self.store.read(self.log, where=_among(late))))
+            out = out.unionByName(rebuilt) if out is not None else rebuilt
+        cleared = [f"{OPEN}=true/{BUCKET}={b}" for b in touched] + [f"{OPEN}=false/{BUCKET}={b}" for b in late]
+        folders = [OPEN, BUCKET]
+        self.store.put(by_folder(out, folders), self.name, load_id, partition_by=folders, cleared=cleared)
+
+    def _gone(self) -> Column:
+        return holds(self.deletes) if self.deletes else F.lit(False)
+
+    def _events(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({GONE: self._gone(), SEEN: F.col(self.sequence)})
+
+    def _versions(self, events: DataFrame) -> DataFrame:
+        """History rows of ``events``.  The last sequence value seen rides along as a column that
+        opens no version; so the open version carries the last one of its key."""
+        hidden = {*self.keys, self.sequence, *self.except_columns, BUCKET, SEEN, GONE}
+        tracked = self.tracked if self.tracked is not None else [c for c in events.columns if c not in hidden]
+        out = scd2(
+            events, [*self.keys, BUCKET], self.sequence, self.ties, deletes=F.col(GONE),
+            except_columns=[GONE, *self.except_columns], tracked=tracked, keep_deletes=True, split_floor=self.split_floor,
         )
+        # A delete that is over has closed its version and has no more to say.
+        return out.where(F.col(END).isNull() | ~F.col(DELETED)).withColumn(OPEN, F.col(END).isNull())
+
+    def _late(self, batch: DataFrame, known: DataFrame) -> list[int]:
+        """Buckets with a change at or before the last one seen of its key."""
+        key = [*self.keys, BUCKET]
+        seq = F.col(self.sequence)
+        first = batch.groupBy(*key).agg(F.min(seq).alias("_first"), F.max(seq.isNull()).alias("_unordered"))
+        both = null_safe_join(first, known.select(*key, SEEN), key, "inner")
+        return _numbers(both.where((F.col("_first") <= F.col(SEEN)) | F.col("_unordered")))
+
+    # -- upkeep and reading ----------------------------------------------------------------
+
+    def fold(self) -> None:
+        """Rewrites the many small loads of the log and of the table as one load each.
+
+        Runs by itself after ``fold_after`` loads.  Of the log one row per key and sequence value
+        stays; a history rebuilt from it is the same."""
+        for table, folders in ((self.log, [BUCKET]), (self.name, [OPEN, BUCKET] if self.scd_type == 2 else [BUCKET])):
+            loads = self.store.visible(table)
+            if len(loads) < 2:
+                continue
+            rows = self.store.read(table, loads)
+            if table == self.log:
+                rows = latest(rows, [*self.keys, BUCKET, self.sequence], [*self.ties] or [self.sequence])
+            folded = f"{loads[-1].load_id}_folded"
+            self.store.put(by_folder(rows, folders), table, folded, "full", partition_by=folders, cleared=[])
+
+    def _exists(self) -> bool:
+        return bool(self.store.visible(self.name))
 
     def table(self) -> DataFrame:
-        """The table as readers see it: deletes hidden, bucket column gone."""
-        return self.store.read(self.name).where(~F.col(DELETED)).drop(DELETED, BUCKET)
+        """The table as readers see it: deletes hidden, bookkeeping columns gone."""
+        rows = self.store.read(self.name).where(~F.col(DELETED))
+        return rows.drop(DELETED, BUCKET, OPEN, SEEN, *self.except_columns)
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Runs the available part of ``stream`` through ``apply``."""
         return start_batches(stream, lambda batch, batch_id: self.apply(batch, batch_id), checkpoint)
+
+
+def _numbers(rows: DataFrame) -> list[int]:
+    """The bucket numbers in ``rows``: at most as many as there are buckets."""
+    return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+
+
+def _among(numbers: list[int]) -> str:
+    return f"{BUCKET} IN ({', '.join(map(str, numbers))})"
