@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import require
+from siltstone.sources.store import LoadStore
 
 CHANGE = "_change_type"
 
@@ -37,6 +38,13 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return changed.select(*old.columns, F.explode(copies).alias(CHANGE))
 
 
+def table_changes(store: LoadStore, table: str, keys: Sequence[str], since: str, until: str | None = None) -> DataFrame:
+    """Changes of a stored table between two of its loads (the newest one when ``until`` is None).
+    Older versions can be compared as long as they have not been vacuumed."""
+    old, new = (store.read(table, store.visible(table, load)) for load in (since, until))
+    return change_feed(old, new, keys)
+
+
 def apply_feed(table: DataFrame, feed: DataFrame) -> DataFrame:
     """``table`` after the changes of ``feed``; rows are added and removed as a multiset."""
     taken = F.col(CHANGE).isin("delete", "update_preimage")

@@ -54,13 +54,14 @@ def _versions(
 ) -> DataFrame:
     """One row per run of equal ``state`` along the sequence of a key.
 
-    All windows share one partitioning and one sort order, so an unsegmented plan has a
-    single shuffle and a single sort.  Segmented rows must be unique in key and sequence.
+    All windows share one partitioning and one sort, so an unsegmented plan has a single
+    shuffle and a single sort.  Segmented rows must be unique in key and sequence.
     """
-    at = dict(keys=keys, order=[sequence, *ties], segment=segment)
+    at = dict(keys=keys, order=[sequence], segment=segment)
     if not segment:
-        # Of rows equal in key and sequence the last by tie-breaker counts.
-        rows = _beside(rows, [sequence], after="_next", **at)
+        # Of rows equal in key and sequence the last by tie-breaker counts.  The sort made here
+        # also serves the windows by sequence alone that follow.
+        rows = _beside(rows, [sequence], keys, [sequence, *ties], None, after="_next")
         rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
 
     def differs(other: str) -> Column:
@@ -100,7 +101,8 @@ def scd2(
     The order of arrival plays no part, only ``sequence``; ``ties`` decides between rows equal
     in key and sequence.  A row matching ``deletes`` closes the version before it and opens
     none; with ``keep_deletes`` it stays as a row flagged ``__DELETED``.  With ``tracked`` only
-    those columns open a version and the others are updated in place.
+    those columns open a version and the others are updated in place; naming ``sequence`` there
+    makes every new sequence value a version.
 
     One extra pass over the key columns looks for keys too large for one task (more rows than
     ``split_floor`` and than a fair share); ``split_floor=None`` skips it.
@@ -110,7 +112,7 @@ def scd2(
     rows = df.withColumn(DELETED, holds(deletes) if deletes is not None else F.lit(False))
     rows = rows.select(*dict.fromkeys([*kept, *keys, sequence, *ties, DELETED]))
 
-    values = [c for c in kept if c not in keys and c != sequence]
+    values = [c for c in kept if c not in keys and (c != sequence or c in (tracked or ()))]
     state = [DELETED, *(c for c in values if tracked is None or c in tracked)]
     carried = [c for c in values if c not in state]
     args = (list(keys), sequence, list(ties), state, carried)

@@ -155,6 +155,20 @@ FACT_ORDER_ITEM = TableSpec(
 
 SPECS = {s.name: s for s in (DIM_CUSTOMER, DIM_PRODUCT, DIM_SELLER, FACT_ORDER, FACT_ORDER_ITEM)}
 
+# Documented lists of columns whose change opens a version; the pipelines themselves track all.
+DOCUMENTED_TRACKED = {
+    "FactOrder": ("order_status", "order_approved_at", "order_delivered_customer_date"),
+    "DimCustomer": ("customer_city", "customer_state", "customer_zip_code_prefix"),
+    "DimProduct": (
+        "product_category_name",
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ),
+    "DimSeller": ("seller_city", "seller_state", "seller_zip_code_prefix"),
+}
+
 # Documented rules the pipelines themselves do not apply; the set of statuses is the caller's.
 DOCUMENTED_ITEM_RULES = {"valid_order": "order_id IS NOT NULL", "valid_freight": "freight_value >= 0"}
 

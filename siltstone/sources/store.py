@@ -126,10 +126,12 @@ class LoadStore:
             .select(F.lit(table).alias("table"), F.coalesce("cdc", F.lit(FIRST_WATERMARK)).alias("cdc"))
         )
 
-    def visible(self, table: str) -> list:
+    def visible(self, table: str, upto: str | None = None) -> list:
         """Ledger rows (control data, one per load) that make up the table: the newest full load
-        and everything after it."""
-        rows = self.ledger(table).orderBy("committed_at", "load_id").collect()
+        and everything after it.  ``upto`` gives the table as it was after that load."""
+        rows = sorted(self.ledger(table).collect(), key=lambda r: (r.committed_at, r.load_id))
+        if upto is not None:
+            rows = rows[: 1 + next(i for i, r in enumerate(rows) if r.load_id == upto)]
         fulls = [i for i, r in enumerate(rows) if r.strategy == "full"]
         return rows[fulls[-1]:] if fulls else rows
 

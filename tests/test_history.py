@@ -100,6 +100,12 @@ def test_untracked_column_is_updated_in_place(spark):
     assert got == [("x", "p", "two", at(1), at(3)), ("x", "r", "three", at(3), None)]
 
 
+def test_tracked_sequence_makes_every_change_a_version(spark):
+    df = frame(spark, [("x", 1, 1, "p", "q", "I"), ("x", 2, 2, "p", "q", "U"), ("x", 2, 2, "p", "q", "U")])
+    got = versions(scd2(df, ["k"], "seq", ["id"], tracked=["a", "seq"], **ARGS), "a")
+    assert got == [("x", "p", at(1), at(2)), ("x", "p", at(2), None)]
+
+
 def test_current_and_as_of(spark):
     df = frame(spark, [("x", 1, 1, "p", "q", "I"), ("x", 3, 2, "r", "q", "U"), ("y", 4, 3, "s", "q", "I")])
     h = scd2(df, ["k"], "seq", ["id"], **ARGS)

@@ -1,16 +1,11 @@
 """Both loads of the manual two-step scenario through every layer."""
 
 from siltstone.operators.history import END, current
-from siltstone.operators.quality import expect
 from siltstone.plans import catalog
-from siltstone.plans.marts import build, inputs
-from siltstone.schemas import DIM_CUSTOMER, DIM_PRODUCT, FACT_ORDER, FACT_ORDER_ITEM, INGESTED_AT, LOADS, SPECS
-from siltstone.sources.ingest import ingest_all
+from siltstone.plans.lake import Lake
+from siltstone.plans.marts import build
+from siltstone.schemas import LOADS
 from siltstone.sources.readers import FrameSource
-from siltstone.sources.store import LoadStore
-from siltstone.streaming.changes import ChangeTarget
-from siltstone.streaming.files import finish
-from siltstone.streaming.loads import start_conform, start_loads
 
 CONFIG = [l for l in LOADS if l.table in ("DimCustomer", "DimProduct", "FactOrder", "FactOrderItem")]
 
@@ -45,45 +40,44 @@ def source(spark, step):
 
 
 def test_two_loads_through_all_layers(spark, tmp_path):
-    bronze, silver, history = (LoadStore(spark, str(tmp_path / n)) for n in ("bronze", "silver", "history"))
-    targets = {
-        s.name: ChangeTarget(history, s.name, s.keys, s.sequence, except_columns=(INGESTED_AT,), buckets=4)
-        for s in (DIM_CUSTOMER, DIM_PRODUCT, FACT_ORDER)
-    }
+    lake = Lake(spark, str(tmp_path), buckets=4)
 
     def step(n):
-        status = {r.table: r.rows for r in ingest_all(spark, source(spark, n), CONFIG, bronze, parallel=4).collect()}
-        finish(*[start_conform(bronze, silver, SPECS[l.table], str(tmp_path / "c" / l.table)) for l in CONFIG])
-        finish(*[
-            start_loads(silver, name, lambda rows, batch, _, t=t: t.apply(rows, batch), str(tmp_path / "h" / name))
-            for name, t in targets.items()
-        ])
-        return status
+        status = lake.load(source(spark, n), CONFIG, parallel=4)
+        lake.conform()
+        lake.track()
+        return {r.table: r.rows for r in status.collect()}
 
     def marts(mode):
-        logs = {l.table: silver.read(l.table) for l in CONFIG}
-        logs["FactOrderItem"] = expect(logs["FactOrderItem"], FACT_ORDER_ITEM.rules)
-        tables = inputs(logs, {n: t.table() for n, t in targets.items()}, mode)
+        tables = lake.tables(mode)
         days = {str(r.sale_date): (r.total_orders, r.total_items, float(r.total_revenue)) for r in build(catalog.AGG_DAILY_SALES, tables).collect()}
         people = {r.customer_id: (r.customer_city, r.total_orders) for r in build(catalog.DIM_CUSTOMER_ENRICHED, tables).collect()}
         return days, people
 
     assert step(1) == {"DimCustomer": 2, "DimProduct": 1, "FactOrder": 2, "FactOrderItem": 4}
-    assert marts("log") == marts("current") == (
-        {"2024-01-02": (2, 3, 50.0)}, {"c1": ("rio", 1), "c2": ("natal", 1)},
-    )
+    assert marts("current") == ({"2024-01-02": (2, 3, 50.0)}, {"c1": ("rio", 1), "c2": ("natal", 1)})
+    assert marts("log") == ({"2024-01-02": (2, 4, 49.0)}, {"c1": ("rio", 1), "c2": ("natal", 1)})
 
     assert step(2) == {"DimCustomer": 1, "DimProduct": 0, "FactOrder": 2, "FactOrderItem": 5}
-    versions = targets["FactOrder"].table()
+    versions = lake.targets["FactOrder"].table()
     statuses = {(r.order_id, r.order_status, r[END] is None) for r in versions.collect()}
     assert statuses == {("o1", "processing", False), ("o1", "delivered", True), ("o2", "processing", True), ("o3", "processing", True)}
-    assert {r.customer_city for r in current(targets["DimCustomer"].table()).collect()} == {"niteroi", "natal"}
+    assert {r.customer_city for r in current(lake.targets["DimCustomer"].table()).collect()} == {"niteroi", "natal"}
     # Counting the append log counts every version of o1 and c1.
     assert marts("current") == (
         {"2024-01-02": (2, 3, 50.0), "2024-02-03": (1, 1, 5.0)}, {"c1": ("niteroi", 2), "c2": ("natal", 1)},
     )
-    assert marts("log")[0]["2024-01-02"] == (2, 5, 80.0)
+    assert marts("log")[0]["2024-01-02"] == (2, 6, 79.0)
 
     assert step(2) == {"DimCustomer": 0, "DimProduct": 0, "FactOrder": 0, "FactOrderItem": 5}
-    assert targets["FactOrder"].table().count() == 4
-    assert silver.read("FactOrderItem").count() == 5
+    assert lake.targets["FactOrder"].table().count() == 4
+    assert lake.silver.read("FactOrderItem").count() == 5
+
+
+def test_refresh_publishes_the_marts(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), buckets=2, scd_types={"DimProduct": 1})
+    for n in (1, 2):
+        lake.refresh(source(spark, n), CONFIG, parallel=4)
+    sold = lake.gold.read("agg_product_performance").collect()
+    assert [(r.product_id, r.total_units_sold, float(r.total_revenue)) for r in sold] == [("p1", 4, 55.0)]
+    assert lake.gold.read("fact_sales_summary").count() == 4

@@ -221,6 +221,21 @@ ORACLE: dict[str, str] = {
         "fact_order_item",
     ),
     "change_feed": _CHANGE_FEED,
+    "mart_change_feed": with_views(
+        """
+        SELECT customer_id, total_orders, last_order_date, 'update_preimage' AS "_change_type" FROM (
+            SELECT e.* FROM early e JOIN late l USING (customer_id) WHERE e.total_orders <> l.total_orders) a
+        UNION ALL
+        SELECT customer_id, total_orders, last_order_date, 'update_postimage' FROM (
+            SELECT l.* FROM early e JOIN late l USING (customer_id) WHERE e.total_orders <> l.total_orders) b""",
+        early=f"""
+        SELECT c_custkey AS customer_id, COUNT(o_orderkey) AS total_orders, MAX(o_orderdate) AS last_order_date
+        FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate <= TIMESTAMP '{LATER}') o ON c_custkey = o_custkey
+        GROUP BY c_custkey""",
+        late="""
+        SELECT c_custkey AS customer_id, COUNT(o_orderkey) AS total_orders, MAX(o_orderdate) AS last_order_date
+        FROM customer LEFT JOIN orders o ON c_custkey = o_custkey GROUP BY c_custkey""",
+    ),
     "conform_types": with_views(
         "SELECT order_id, product_id, seller_id, "
         + ", ".join(f"TRY_CAST({c} AS {t}) AS {c}" for c, t in _TYPED.items())

@@ -137,6 +137,20 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
     return feed.change_feed(old, new, ["customer_id"])
 
 
+def mart_change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes between two published versions of the customer mart: from the orders of the
+    earlier years, and from all orders."""
+    store = LoadStore(spark, workspace(spark, "gold"))
+    tables = views.warehouse(spark, sf)
+    spec = replace(catalog.DIM_CUSTOMER_ENRICHED, cluster_by=())
+    early = F.col("order_purchase_timestamp") <= F.lit(LATER).cast("timestamp_ntz")
+    marts.publish(spec, marts.build(spec, {**tables, "FactOrder": tables["FactOrder"].where(early)}), store)
+    [first] = store.visible(spec.name)
+    marts.publish(spec, marts.build(spec, tables), store)
+    changes = feed.table_changes(store, spec.name, ["customer_id"], first.load_id)
+    return changes.select("customer_id", "total_orders", "last_order_date", feed.CHANGE)
+
+
 # -- silver --------------------------------------------------------------------------------
 
 
@@ -400,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd1_latest": scd1_latest,
     "dedup_latest": dedup_latest,
     "change_feed": change_feed,
+    "mart_change_feed": mart_change_feed,
     "conform_types": conform_types,
     "conform_losses": conform_losses,
     "clean_rows": clean_rows,
