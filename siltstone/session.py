@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Runtime SQL settings the plans here rely on.  Sizes (shuffle partitions, broadcast
 # limit, split size) stay with the cluster: AQE coalesces and splits from there.
@@ -47,3 +51,10 @@ def saved(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(workspace(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def control_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few rows of bookkeeping as a DataFrame, made in the JVM without Python workers."""
+    text = json.dumps(rows, default=lambda v: v.isoformat() if isinstance(v, datetime) else str(v))
+    parsed = F.from_json(F.lit(text), T.ArrayType(schema), {"mode": "FAILFAST"})
+    return spark.range(1, numPartitions=1).select(F.inline(parsed))

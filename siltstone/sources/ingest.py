@@ -7,12 +7,23 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.columns import require
 from siltstone.operators.cluster import by_folder
 from siltstone.schemas import LoadSpec
+from siltstone.session import control_rows
 from siltstone.sources.store import LoadStore, instant
 
+STATUS = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("strategy", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("cdc", T.StringType()),
+    ]
+)
+
 
 def lower_bound(load: LoadSpec, last: str) -> str:
     """The backdate when one is given, else the stored watermark."""
@@ -93,8 +104,4 @@ def ingest_all(
     loads = list(loads)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         jobs = [pool.submit(ingest, spark, source, load, store, **options) for load in loads]
-    done = [job.result() for job in jobs]
-    return spark.createDataFrame(
-        [(d["table"], d["strategy"], d["rows"], d["cdc"]) for d in done],
-        "table string, strategy string, rows bigint, cdc string",
-    )
+    return control_rows(spark, [job.result() for job in jobs], STATUS)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.schemas import FIRST_WATERMARK, evolve
+from siltstone.session import control_rows
 
 LEDGER = T.StructType(
     [
@@ -85,8 +86,7 @@ class LoadStore:
             "strategy": strategy,
             "committed_at": datetime.now(timezone.utc),
         }
-        one = self.spark.createDataFrame([tuple(row[f.name] for f in LEDGER.fields)], LEDGER)
-        one.coalesce(1).write.mode("append").parquet(self.ledger_path(table))
+        control_rows(self.spark, [row], LEDGER).write.mode("append").parquet(self.ledger_path(table))
         return row
 
     def put(
@@ -114,7 +114,7 @@ class LoadStore:
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], LEDGER)
+            return control_rows(self.spark, [], LEDGER)
 
     def watermark(self, table: str) -> DataFrame:
         """One row: the table's committed high-water mark, or the first one before any load."""
@@ -155,7 +155,7 @@ class LoadStore:
             schema = evolve(schema, T.StructType.fromJson(json.loads(load.schema)))
         paths = _folders(loads, self.data(table))
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return control_rows(self.spark, [], schema)
         df = self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths)
         if where:
             df = df.where(where)
@@ -163,13 +163,18 @@ class LoadStore:
 
     def register(self, table: str, name: str) -> None:
         """(Re)points a catalog table at the newest full load of ``table``."""
-        load = self.visible(table)[0]
-        path = self.data(table, load.load_id)
-        if self.spark.catalog.tableExists(name):
+        [load, *later] = self.visible(table)
+        if load.strategy != "full" or later:
+            raise ValueError(f"{table}: only a table replaced as a whole can be registered by its folder")
+        path, schema = self.data(table, load.load_id), self.read(table, [load]).schema
+        catalog = self.spark.catalog
+        if catalog.tableExists(name) and set(self.spark.table(name).dtypes) != set(_dtypes(schema)):
+            self.spark.sql(f"DROP TABLE {name}")
+        if catalog.tableExists(name):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         else:
-            self.spark.catalog.createTable(name, path=path, source="parquet", schema=self.read(table).schema)
-        self.spark.catalog.refreshTable(name)
+            catalog.createTable(name, path=path, source="parquet", schema=schema)
+        catalog.refreshTable(name)
 
     def vacuum(self, table: str, older_than_hours: float = 24.0) -> list[str]:
         """Deletes load folders no reader of the committed table opens: failed and empty loads,
@@ -187,6 +192,10 @@ class LoadStore:
         return sorted(dropped)
 
 
+def _dtypes(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
 def _folders(loads: Sequence, base: str) -> list[str]:
     """Folders to read: whole loads, or of loads that list their folders those still counting."""
     found = {}

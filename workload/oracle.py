@@ -268,6 +268,7 @@ ORACLE: dict[str, str] = {
         doubtful=_DOUBTFUL,
     ),
     "ingest_full": "SELECT * FROM lineitem",
+    "extract_incremental": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{WATERMARK}'",
     "ingest_incremental": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{WATERMARK}'",
     "ingest_backdate": f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{BACKDATE}'",
     "watermark_last": "SELECT 'orders' AS \"table\", CAST(MAX(o_orderdate) AS VARCHAR) AS cdc FROM orders "

@@ -13,7 +13,7 @@ from siltstone.operators import cluster, conform, feed, history, prepare, qualit
 from siltstone.plans import catalog, marts
 from siltstone.schemas import LoadSpec
 from siltstone.session import tune, workspace
-from siltstone.sources.ingest import ingest, ingest_all
+from siltstone.sources.ingest import extract, ingest, ingest_all
 from siltstone.sources.readers import ParquetSource
 from siltstone.sources.store import LoadStore
 from siltstone.streaming import files, loads
@@ -225,6 +225,11 @@ def ingest_full(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("lineitem")
 
 
+def extract_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of an incremental load alone, without writing them."""
+    return extract(views.table(spark, sf, "orders"), ORDER_LOAD, WATERMARK)
+
+
 def _ingest_orders(spark: SparkSession, sf: str, load: LoadSpec) -> LoadStore:
     """One load of orders after an earlier one that left a watermark."""
     store = _bronze(spark)
@@ -421,6 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_items": quality_items,
     "quality_counts": quality_counts,
     "ingest_full": ingest_full,
+    "extract_incremental": extract_incremental,
     "ingest_incremental": ingest_incremental,
     "ingest_backdate": ingest_backdate,
     "watermark_last": watermark_last,
