@@ -83,12 +83,11 @@ class Lake:
         and the checked rows."""
         logs = {s.name: self.silver.read(s.name) for s in self._loaded(self.silver)}
         if mode == "log":
-            return inputs(logs, mode="log")
-        kept = self._loaded(self.tracked)
-        checked = {s.name: self.tracked.read(s.name) for s in kept if s.name not in self.targets}
-        newest = {s.name: self.targets[s.name].table() for s in kept if s.name in self.targets and self.targets[s.name].scd_type == 1}
-        histories = {s.name: self.targets[s.name].table() for s in kept if s.name in self.targets and s.name not in newest}
-        return inputs({**logs, **checked, **newest}, histories, mode)
+            return logs
+        kept = {s.name for s in self._loaded(self.tracked)}
+        current = {n: t.current() for n, t in self.targets.items() if n in kept}
+        checked = {n: self.tracked.read(n) for n in kept if n not in self.targets}
+        return inputs(logs, {**checked, **current}, mode)
 
     def build(self, marts: Iterable[MartSpec] = MARTS, mode: str = "current") -> dict[str, DataFrame]:
         """Publishes the marts."""

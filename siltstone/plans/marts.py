@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.columns import require
 from siltstone.operators.cluster import by_folder, zorder
-from siltstone.operators.history import current
+from siltstone.operators.history import END, current
 from siltstone.sources.store import LoadStore, instant
 
 
@@ -105,16 +105,16 @@ def build(spec: MartSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def inputs(
-    logs: Mapping[str, DataFrame], histories: Mapping[str, DataFrame] | None = None, mode: str = "current"
+    logs: Mapping[str, DataFrame], tracked: Mapping[str, DataFrame] | None = None, mode: str = "current"
 ) -> dict[str, DataFrame]:
     """The tables marts read.  ``log`` takes the append logs, where every version of a key counts
-    as a row of its own; ``current`` takes the open versions of those tables that have a history."""
+    as a row of its own; ``current`` prefers the ``tracked`` tables, of a history its open versions."""
     if mode not in ("log", "current"):
         raise ValueError(f"mode must be log or current, not {mode!r}")
-    chosen = dict(logs)
-    if mode == "current":
-        chosen |= {name: current(history) for name, history in (histories or {}).items()}
-    return chosen
+    if mode == "log":
+        return dict(logs)
+    opened = {n: current(t) if END in t.columns else t for n, t in (tracked or {}).items()}
+    return {**logs, **opened}
 
 
 def publish(spec: MartSpec, df: DataFrame, store: LoadStore, register_as: str | None = None) -> DataFrame:

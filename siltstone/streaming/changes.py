@@ -159,8 +159,14 @@ class ChangeTarget:
 
     def table(self) -> DataFrame:
         """The table as readers see it: deletes hidden, bookkeeping columns gone."""
-        rows = self.store.read(self.name).where(~F.col(DELETED))
-        return rows.drop(DELETED, BUCKET, OPEN, SEEN, *self.except_columns)
+        return self._shown(self.store.read(self.name))
+
+    def current(self) -> DataFrame:
+        """The open version of every key.  Folders of closed versions are not opened."""
+        return self._shown(self.store.read(self.name, where=OPEN if self.scd_type == 2 else None))
+
+    def _shown(self, rows: DataFrame) -> DataFrame:
+        return rows.where(~F.col(DELETED)).drop(DELETED, BUCKET, OPEN, SEEN, *self.except_columns)
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Runs the available part of ``stream`` through ``apply``."""

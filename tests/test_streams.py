@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators.history import scd1, scd2
+from siltstone.operators.history import current, scd1, scd2
 from siltstone.operators.quality import expect
 from siltstone.schemas import DIM_CUSTOMER, FACT_ORDER_ITEM, INGESTED_AT
 from siltstone.sources.store import LoadStore
@@ -139,7 +139,8 @@ def test_ordered_batches_only_append_closed_versions(spark, tmp_path):
         t.apply(spark.createDataFrame(rows[lo:hi], FEED), batch)
     for load in t.store.visible("t"):
         assert all(part.startswith("_open=true") for part in load.cleared)
-    assert same(t.table(), whole)
+    assert same(t.table(), whole) and same(t.current(), current(whole))
+    assert "PartitionFilters: [isnotnull(_open" in t.current()._jdf.queryExecution().executedPlan().toString()
     # One late change rebuilds its own bucket and no other.
     late = ("k3", T0, 10_000, "q", "v", "I")
     t.apply(spark.createDataFrame([late], FEED), 3)
