@@ -37,15 +37,18 @@ def conform(df: DataFrame, spec: TableSpec, strict: bool = False, stamp: bool =
     return df.select(*columns)
 
 
+def losses(df: DataFrame, spec: TableSpec) -> dict[str, Column]:
+    """Counters per converted column of ``df``: values that are present but do not convert."""
+    return {
+        n: F.count_if(F.col(n).isNotNull() & converted(df, n, k, False).isNull())
+        for n, k in spec.columns.items()
+        if k is not None and n in df.columns
+    }
+
+
 def conversion_losses(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row: per converted column, how many values were present but did not convert."""
-    return df.agg(
-        *[
-            F.count_if(F.col(n).isNotNull() & converted(df, n, k, False).isNull()).alias(n)
-            for n, k in spec.columns.items()
-            if k is not None and n in df.columns
-        ]
-    )
+    """One row with the ``losses`` of a table."""
+    return df.agg(*[c.alias(n) for n, c in losses(df, spec).items()])
 
 
 def clean(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import holds
@@ -42,6 +42,11 @@ def counts(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     return one.select(F.inline(F.array(*per_rule)))
 
 
+def failures(rules: dict[str, str]) -> dict[str, Column]:
+    """Counters of failing rows per rule, to be observed while the rows are written."""
+    return {f"failed_{name}": F.count_if(~holds(p)) for name, p in rules.items()}
+
+
 def in_set(column: str, values: list[str]) -> str:
     """A rule text: the column holds one of ``values``."""
     listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)

@@ -15,25 +15,31 @@ SEGMENT = "_segment"
 # A key below this many rows is never split: sorting it in one task is cheap.
 SPLIT_FLOOR = 2_000_000
 
+# Sketches are merged in this many groups at most, so no task merges those of all tasks.
+SKETCH_GROUPS = 200
+MAX_HEAVY = 2048
+
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = SPLIT_FLOOR) -> tuple[dict[int, int], int]:
     """Hash and row count of the keys that hold more than a fair share, and that share.
 
-    One narrow pass: each task keeps a frequent-items sketch of fixed size and only the
-    sketches are merged.  At most ``partitions`` keys can exceed ``rows / partitions``, so the
-    list is bounded by the cluster, not by the data.  The sketch decides only how rows are
-    spread; results do not depend on it.
+    One narrow pass: each task keeps a frequent-items sketch of fixed size, sketches are merged
+    group by group, and the groups' top lists are summed.  At most ``partitions`` keys can exceed
+    ``rows / partitions``, and at most ``MAX_HEAVY`` reach the driver.  What is found decides
+    only how rows are spread; results do not depend on it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = min(max(parts, 1), 100_000)
-    tracked = min(max(16 * k, 4096), 1_000_000)
-    seen = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {tracked})").alias("top"))
-        .first()
-    )
-    share = max(floor, math.ceil(seen.n / parts))
-    return {t["item"]: t["count"] for t in seen.top or [] if t["count"] > share}, share
+    k = max(1, min(parts, MAX_HEAVY))
+    top = F.expr(f"approx_top_k(h, {k}, {max(4096, 8 * k)})")
+    rows = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % min(parts, SKETCH_GROUPS)).alias("g"))
+    groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
+    # The row count travels as an item without a key.
+    total = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("n").alias("count"))
+    items = groups.select(F.inline(F.array_append("top", total)))
+    found = items.groupBy("item").agg(F.sum("count").alias("n")).orderBy(F.desc("n")).limit(k + 1).collect()
+    count = {r.item: r.n for r in found}
+    share = max(floor, math.ceil(count.pop(None, 0) / parts))
+    return {h: n for h, n in count.items() if n > share}, share
 
 
 def split_heavy(

@@ -7,12 +7,12 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators.conform import clean
-from siltstone.operators.quality import expect
+from siltstone.operators.quality import expect, failures
 from siltstone.plans.catalog import MARTS
 from siltstone.plans.marts import MartSpec, build_all, inputs
 from siltstone.schemas import INGESTED_AT, LOADS, SPECS, LoadSpec, TableSpec
 from siltstone.sources.ingest import ingest_all
-from siltstone.sources.store import LoadStore
+from siltstone.sources.store import LoadStore, observed
 from siltstone.streaming.changes import ChangeTarget
 from siltstone.streaming.files import finish
 from siltstone.streaming.loads import start_conform, start_loads
@@ -73,8 +73,9 @@ class Lake:
         def handle(rows: DataFrame, batch_id: int, replaces: bool) -> None:
             load_id = f"b{batch_id:09d}"
             if not self.tracked.committed(spec.name, load_id):
+                rows, failed = observed(rows, failures(spec.rules))
                 good = expect(rows.drop(INGESTED_AT), spec.rules)
-                self.tracked.put(good, spec.name, load_id, "full" if replaces else "incremental")
+                self.tracked.put(good, spec.name, load_id, "full" if replaces else "incremental", counts=failed)
 
         return handle
 

@@ -32,6 +32,7 @@ LEDGER = T.StructType(
         T.StructField("null_cdc_rows", T.LongType()),
         T.StructField("cleared", T.ArrayType(T.StringType())),  # folders whose older rows no longer count
         T.StructField("folders", T.ArrayType(T.StringType())),  # folders this load wrote, if listed
+        T.StructField("counts", T.MapType(T.StringType(), T.LongType())),  # failed rules, lost values
         T.StructField("schema", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
@@ -91,12 +92,13 @@ class LoadStore:
 
     def put(
         self, df: DataFrame, table: str, load_id: str | None = None, strategy: str = "incremental",
-        partition_by: Sequence[str] = (), cleared: Sequence[str] | None = None,
+        partition_by: Sequence[str] = (), cleared: Sequence[str] | None = None, counts: Observation | None = None,
     ) -> dict:
         """Write and commit in one step.
 
         With ``cleared`` the load also replaces: rows that older loads hold in those folders
         (such as ``"bucket=3"``) no longer count.  The folders it writes are then listed.
+        ``counts`` is an observation inside ``df``; its numbers go to the ledger.
         """
         load_id = load_id or instant()
         metrics = None
@@ -104,6 +106,8 @@ class LoadStore:
             named = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by]
             metrics = {"folders": F.collect_set(F.concat_ws("/", *named))}  # one entry per folder
         facts = self.write(df, table, load_id, metrics, partition_by)
+        if counts is not None:
+            facts["counts"] = counts.get
         return self.commit(table, load_id, strategy, cleared=None if cleared is None else list(cleared), **facts)
 
     # -- reading ---------------------------------------------------------------------------
@@ -192,6 +196,15 @@ class LoadStore:
         return sorted(dropped)
 
 
+def observed(df: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Observation | None]:
+    """``df`` with ``counters`` taken as its rows pass by.  Exact when no shuffle lies between
+    here and the write, since Spark counts each finished task of the writing stage once."""
+    if not counters:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counters.items()]), seen
+
+
 def _dtypes(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 

@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siltstone.operators.conform import conform
+from siltstone.operators.conform import conform, losses
 from siltstone.schemas import TableSpec
-from siltstone.sources.store import LEDGER, LoadStore
+from siltstone.sources.store import LEDGER, LoadStore, observed
 from siltstone.streaming.files import start_batches
 
 
@@ -46,24 +45,21 @@ def start_loads(
 def start_conform(
     bronze: LoadStore, silver: LoadStore, spec: TableSpec, checkpoint: str, strict: bool = False, stamp: bool = True,
     transform: Callable[[DataFrame], DataFrame] | None = None, max_loads: int | None = None,
+    count_losses: bool = True,
 ) -> StreamingQuery:
     """Committed bronze loads to committed silver loads; a full load replaces the silver table.
 
-    ``transform`` adds work on the conformed rows, such as cleaning or expectations.
+    ``transform`` adds work on the conformed rows, such as cleaning or expectations.  Values
+    that do not convert are counted per column in the silver ledger.
     """
 
     def handle(rows: DataFrame, batch_id: int, replaces: bool) -> None:
         load_id = f"b{batch_id:09d}"
         if silver.committed(spec.name, load_id):
             return
+        rows, lost = observed(rows, losses(rows, spec) if count_losses and not strict else {})
         out = conform(rows, spec, strict, stamp)
-        silver.put(
-            transform(out) if transform else out, spec.name, load_id, "full" if replaces else "incremental"
-        )
+        out = transform(out) if transform else out
+        silver.put(out, spec.name, load_id, "full" if replaces else "incremental", counts=lost)
 
     return start_loads(bronze, spec.name, handle, checkpoint, max_loads)
-
-
-def null_sequence_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows history cannot order, because their sequence column is NULL."""
-    return df.where(F.col(spec.sequence).isNull())

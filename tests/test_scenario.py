@@ -58,6 +58,9 @@ def test_two_loads_through_all_layers(spark, tmp_path):
     assert marts("current") == ({"2024-01-02": (2, 3, 50.0)}, {"c1": ("rio", 1), "c2": ("natal", 1)})
     assert marts("log") == ({"2024-01-02": (2, 4, 49.0)}, {"c1": ("rio", 1), "c2": ("natal", 1)})
 
+    [checked] = lake.tracked.visible("FactOrderItem")
+    assert checked.counts == {"failed_valid_order_item": 0, "failed_valid_price": 1}
+
     assert step(2) == {"DimCustomer": 1, "DimProduct": 0, "FactOrder": 2, "FactOrderItem": 5}
     versions = lake.targets["FactOrder"].table()
     statuses = {(r.order_id, r.order_status, r[END] is None) for r in versions.collect()}

@@ -67,10 +67,11 @@ def test_committed_loads_reach_silver_once(spark, tmp_path):
     assert run() == ["a"]
     bronze.write(customers(spark, ("b", "x", "2024-01-02 00:00:00")), "DimCustomer", "crashed")
     assert run() == ["a"]
-    bronze.put(customers(spark, ("b", "x", "2024-01-02 00:00:00")), "DimCustomer")
+    bronze.put(customers(spark, ("b", "x", "2024-01-02 00:00:00"), ("d", "x", "soon")), "DimCustomer")
     bronze.put(customers(spark, ("c", "x", "2024-01-03 00:00:00")), "DimCustomer")
-    assert run() == ["a", "b", "c"]
-    assert run() == ["a", "b", "c"]
+    assert run() == ["a", "b", "c", "d"]
+    assert run() == ["a", "b", "c", "d"]
+    assert [load.counts for load in silver.visible("DimCustomer")] == [{"updated_at": 0}, {"updated_at": 1}]
 
 
 def test_full_reload_replaces_silver(spark, tmp_path):
