@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.columns import holds, null_safe_join, require
 from siltstone.operators.conform import latest
-from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, split_heavy
+from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, heavy_keys, split_heavy
 from siltstone.session import saved
 
 START, END, DELETED = "__START_AT", "__END_AT", "__DELETED"
@@ -55,14 +55,14 @@ def _versions(
     """One row per run of equal ``state`` along the sequence of a key.
 
     All windows share one partitioning and one sort, so an unsegmented plan has a single
-    shuffle and a single sort.  Segmented rows must be unique in key and sequence.
+    shuffle and a single sort.
     """
     at = dict(keys=keys, order=[sequence], segment=segment)
-    if not segment:
-        # Of rows equal in key and sequence the last by tie-breaker counts.  The sort made here
-        # also serves the windows by sequence alone that follow.
-        rows = _beside(rows, [sequence], keys, [sequence, *ties], None, after="_next")
-        rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
+    # Of rows equal in key and sequence the last by tie-breaker counts; such rows share a segment.
+    # The sort made here also serves the windows by sequence alone that follow.
+    inside = [*keys, segment] if segment else keys
+    rows = _beside(rows, [sequence], inside, [sequence, *ties], None, after="_next")
+    rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
 
     def differs(other: str) -> Column:
         # NULL-safe: NULL against a value is a change, NULL against NULL is none.
@@ -123,12 +123,21 @@ def scd2(
     visible = F.lit(True) if keep_deletes else ~F.col(DELETED)
     history = history.where(visible).select(*wanted)
     if heavy is not None:
-        # Copies of one change collapse on the map side before the segments are shuffled.
-        single = latest(heavy, [*keys, sequence, SEGMENT], [*ties] or [sequence])
-        history = history.unionByName(_versions(single, *args, SEGMENT).where(visible).select(*wanted))
+        heavy = _without_copies(heavy, [*keys, sequence], [*ties] or [sequence], split_floor)
+        history = history.unionByName(_versions(heavy, *args, SEGMENT).where(visible).select(*wanted))
     return history
 
 
+def _without_copies(rows: DataFrame, change: list[str], ties: list[str], floor: int) -> DataFrame:
+    """``rows`` where a change repeated very many times has collapsed on the map side, since no
+    cut of the sequence can spread it.  Other repeats are left to the windows."""
+    repeated, _ = heavy_keys(rows, change, floor)
+    if not repeated:
+        return rows
+    is_repeated = F.xxhash64(*change).isin(list(repeated))
+    return rows.where(~is_repeated).unionByName(latest(rows.where(is_repeated), change, ties))
+
+
 def scd1(
     df: DataFrame,
     keys: Sequence[str],
