@@ -15,74 +15,95 @@ from siltstone.session import saved
 START, END, DELETED = "__START_AT", "__END_AT", "__DELETED"
 
 
-def _beside(
-    df: DataFrame, row: Sequence[str], keys: Sequence[str], order: Sequence[str], segment: str | None,
-    before: str | None = None, after: str | None = None,
-) -> DataFrame:
-    """Adds structs of ``row`` from the key's previous row (named ``before``) and next (``after``).
-
-    A struct is NULL only where there is no such row.  With a segment column the windows run
-    inside one segment; a segment's outermost rows take their neighbour from the edge rows, of
-    which there is one pair per key and segment.
-    """
-    value = F.struct(*row)
-    parts = [*keys, segment] if segment else list(keys)
-    inside = Window.partitionBy(*parts).orderBy(*order)
-    found = {}
-    if before:
-        found[before] = F.lag(value).over(inside)
-    if after:
-        found[after] = F.lead(value).over(inside)
-    out = df.withColumns(found)
-    if not segment:
-        return out
-    position = F.struct(*order)
-    across = Window.partitionBy(*keys).orderBy(segment)
-    edges = (
-        df.groupBy(*parts)
-        .agg(F.min_by(value, position).alias("_first"), F.max_by(value, position).alias("_last"))
-        .select(*parts, F.lag("_last").over(across).alias("_ahead"), F.lead("_first").over(across).alias("_behind"))
-    )
-    out = null_safe_join(out, edges, parts, "left")
-    outer = {name: F.coalesce(name, edge) for name, edge in ((before, "_ahead"), (after, "_behind")) if name}
-    return out.withColumns(outer).drop("_ahead", "_behind")
+HEAD = "_head"
 
 
-def _versions(
-    rows: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str],
-    state: Sequence[str], carried: Sequence[str], segment: str | None,
+def _runs(
+    rows: DataFrame, parts: Sequence[str], sequence: str, ties: Sequence[str], state: Sequence[str],
+    carried: Sequence[str],
 ) -> DataFrame:
-    """One row per run of equal ``state`` along the sequence of a key.
+    """One row per run of equal ``state`` along the sequence inside each of ``parts``.
 
-    All windows share one partitioning and one sort, so an unsegmented plan has a single
-    shuffle and a single sort.
+    All windows share one partitioning and one sort, so this is a single shuffle and a single
+    sort.  ``_head`` marks the first run of a part; the last one has no end.
     """
-    at = dict(keys=keys, order=[sequence], segment=segment)
-    # Of rows equal in key and sequence the last by tie-breaker counts; such rows share a segment.
-    # The sort made here also serves the windows by sequence alone that follow.
-    inside = [*keys, segment] if segment else keys
-    rows = _beside(rows, [sequence], inside, [sequence, *ties], None, after="_next")
-    rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
+    by_tie = Window.partitionBy(*parts).orderBy(sequence, *ties)
+    along = Window.partitionBy(*parts).orderBy(sequence)
+    value = F.struct(*state)
 
     def differs(other: str) -> Column:
         # NULL-safe: NULL against a value is a change, NULL against NULL is none.
-        return F.col(other).isNull() | ~F.col(other).eqNullSafe(F.struct(*state))
+        return F.col(other).isNull() | ~F.col(other).eqNullSafe(value)
+
+    # Structs from a neighbouring row are NULL only where there is no such row.
+    # Of rows equal in key and sequence the last by tie-breaker counts.
+    rows = rows.withColumn("_next", F.lead(F.struct(sequence)).over(by_tie))
+    rows = rows.where(F.col("_next").isNull() | ~F.col(f"_next.{sequence}").eqNullSafe(F.col(sequence)))
 
     # Columns outside the tracked set keep the value of the run's last row, so both ends of a
     # run stay and the first then looks at the one after it.
-    rows = _beside(rows, state, before="_previous", after="_next" if carried else None, **at)
-    rows = rows.withColumn("_opens", differs("_previous"))
-    rows = rows.withColumn("_closes", differs("_next") if carried else F.lit(False))
-    ends = rows.where("_opens OR _closes").drop("_previous", "_next")
-    if segment:
-        ends = saved(ends)
+    rows = rows.withColumn("_previous", F.lag(value).over(along))
+    if carried:
+        rows = rows.withColumn("_next", F.lead(value).over(along))
+    rows = rows.withColumns({"_opens": differs("_previous"), "_closes": differs("_next") if carried else F.lit(False)})
+    rows = rows.where("_opens OR _closes")
     if carried:
-        ends = _beside(ends, carried, after="_end", **at).where("_opens")
-        ends = ends.withColumns(
-            {c: F.when(F.col("_closes"), F.col(c)).otherwise(F.col(f"_end.{c}")) for c in carried}
+        rows = rows.withColumn("_last", F.lead(F.struct(*carried)).over(along)).where("_opens")
+        rows = rows.withColumns(
+            {c: F.when(F.col("_closes"), F.col(c)).otherwise(F.col(f"_last.{c}")) for c in carried}
         )
-    runs = _beside(ends, [sequence], after="_next", **at)
-    return runs.withColumn(START, F.col(sequence)).withColumn(END, F.col(f"_next.{sequence}"))
+    runs = rows.withColumns({HEAD: F.col("_previous").isNull(), END: F.lead(sequence).over(along)})
+    return runs.withColumn(START, F.col(sequence)).drop("_previous", "_next", "_last", "_opens", "_closes")
+
+
+def _joined(runs: DataFrame, keys: Sequence[str], state: Sequence[str], carried: Sequence[str]) -> DataFrame:
+    """Runs found segment by segment as runs of the whole key.
+
+    Only the outer runs of a segment can change: its first is no new version when the segment
+    before ended in the same state, and its last ends where the next version opens.  There are
+    at most two such rows per key and segment; all others pass as they are.
+    """
+    parts = [*keys, SEGMENT]
+    is_outer = F.col(HEAD) | F.col(END).isNull()
+    outer = runs.where(is_outer)
+    head = F.struct(F.struct(*state).alias("state"), START, END, F.struct(*carried, F.lit(0).alias("_")).alias("carried"))
+    along = Window.partitionBy(*keys).orderBy(SEGMENT)
+    after = Window.partitionBy(*keys).orderBy(F.desc(SEGMENT))
+    segments = outer.groupBy(*parts).agg(
+        F.first(F.when(F.col(HEAD), head), ignorenulls=True).alias("h"),
+        F.first(F.when(F.col(END).isNull(), F.struct(*state)), ignorenulls=True).alias("tail"),
+    )
+    before = F.lag("tail").over(along)
+    segments = segments.withColumns(
+        {
+            "_opens": before.isNull() | ~before.eqNullSafe(F.col("h.state")),
+            "_inner": F.lag(F.col(f"h.{END}").isNotNull()).over(along),
+        }
+    )
+    # Segments one run passes through form a chain; its last segment has the run's last row.
+    segments = segments.withColumns(
+        {
+            "_chain": F.sum((F.col("_opens") | F.coalesce("_inner", F.lit(False))).cast("int")).over(along),
+            "_first": F.when(F.col("_opens"), F.col(f"h.{START}")).otherwise(F.col(f"h.{END}")),
+        }
+    )
+    chain = Window.partitionBy(*keys, "_chain").orderBy(F.desc(SEGMENT)).rowsBetween(Window.unboundedPreceding, 0)
+    segments = segments.withColumns(
+        {
+            "_until": F.last("_first", ignorenulls=True).over(after.rowsBetween(Window.unboundedPreceding, -1)),
+            "_final": F.when(~F.col("_opens"), F.first("h.carried").over(chain)),
+        }
+    ).withColumn("_final", F.lead("_final").over(along))
+    fixed = null_safe_join(outer, segments.select(*parts, "_opens", "_until", "_final"), parts, "inner")
+    fixed = fixed.where(~F.col(HEAD) | F.col("_opens"))
+    goes_on = F.col(END).isNull() & F.col("_final").isNotNull()
+    fixed = fixed.withColumns(
+        {
+            **{c: F.when(goes_on, F.col(f"_final.{c}")).otherwise(F.col(c)) for c in carried},
+            END: F.coalesce(END, "_until"),
+        }
+    )
+    return runs.where(~is_outer).unionByName(fixed.select(*runs.columns))
 
 
 def scd2(
@@ -115,16 +136,17 @@ def scd2(
     values = [c for c in kept if c not in keys and (c != sequence or c in (tracked or ()))]
     state = [DELETED, *(c for c in values if tracked is None or c in tracked)]
     carried = [c for c in values if c not in state]
-    args = (list(keys), sequence, list(ties), state, carried)
+    args = (sequence, list(ties), state, carried)
 
     ordinary, heavy = (rows, None) if split_floor is None else split_heavy(rows, keys, sequence, split_floor)
-    history = _versions(ordinary, *args, None)
+    history = _runs(ordinary, keys, *args)
     wanted = [*kept, START, END, *([DELETED] if keep_deletes else [])]
     visible = F.lit(True) if keep_deletes else ~F.col(DELETED)
     history = history.where(visible).select(*wanted)
     if heavy is not None:
         heavy = _without_copies(heavy, [*keys, sequence], [*ties] or [sequence], split_floor)
-        history = history.unionByName(_versions(heavy, *args, SEGMENT).where(visible).select(*wanted))
+        runs = saved(_runs(heavy, [*keys, SEGMENT], *args))
+        history = history.unionByName(_joined(runs, keys, state, carried).where(visible).select(*wanted))
     return history
 
 
