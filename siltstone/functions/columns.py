@@ -17,9 +17,7 @@ def holds(predicate: str | Column) -> Column:
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Equi-join where NULL keys match each other; the result keeps the left side's key columns."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
-    )
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     condition = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
     joined = left.join(renamed, condition, how)
     return joined.drop(*[f"_r_{c}" for c in on])

@@ -69,4 +69,5 @@ def hash60(columns: Sequence[str], seed: int = 0) -> Column:
     """A uniform value in [0, 2**60) from ``columns``, the same on every engine that has MD5."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *text))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    # Never NULL; saying so keeps Spark from adding a filter that computes the hash twice.
+    return F.coalesce(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))

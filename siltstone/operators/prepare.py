@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.columns import null_safe_join
 from siltstone.functions.order import hash60
+from siltstone.session import measured
 
 
 def sample_random(df: DataFrame, keys: Sequence[str], percent: float, seed: int = 0) -> DataFrame:
@@ -24,7 +25,8 @@ def sample_by_date(
 
     Within a date the rows with the smallest key hashes are taken; rows of one key stay
     together.  The limit per date comes from counts per hash bucket, refined inside the one
-    bucket the limit falls into, so no task ever ranks the rows of a whole date.
+    bucket the limit falls into, so no task ever ranks the rows of a whole date, and the table
+    itself is not shuffled.
     """
     rows = df.withColumns({"_date": F.date_trunc(grain, date), "_hash": hash60(keys, seed)})
     rows = rows.withColumn("_bucket", F.shiftright("_hash", 60 - bucket_bits))
@@ -43,10 +45,11 @@ def sample_by_date(
     edge = reach(per_bucket.withColumn("_want", wanted), "_bucket", F.col("_want")).select(
         "_date", "_bucket", (F.col("_want") - (F.col("_upto") - F.col("count"))).alias("_need")
     )
-    inside = null_safe_join(rows.select("_date", "_bucket", "_hash"), edge, ["_date", "_bucket"], "inner")
+    narrow = rows.select("_date", "_bucket", "_hash")
+    inside = null_safe_join(narrow, measured(edge), ["_date", "_bucket"], "inner")
     per_hash = inside.groupBy("_date", "_need", "_hash").count()
     limit = reach(per_hash, "_hash", F.col("_need")).select("_date", F.col("_hash").alias("_limit"))
-    return null_safe_join(rows, limit, ["_date"], "inner").where("_hash <= _limit").select(*df.columns)
+    return null_safe_join(rows, measured(limit), ["_date"], "inner").where("_hash <= _limit").select(*df.columns)
 
 
 def payment_rollup(

@@ -53,6 +53,20 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Rows of a few fixed-width columns: some tens of MB in memory.
+BROADCAST_ROWS = 1_000_000
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A small result of fixed-width columns, computed once and counted: broadcast when it has at
+    most ``BROADCAST_ROWS`` rows, else joined as Spark sees fit.
+
+    Spark's own estimate of an aggregate follows the table below it, so without the count a join
+    with a handful of rows would first shuffle the large side."""
+    kept = saved(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
 def control_rows(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
     """A few rows of bookkeeping as a DataFrame, made in the JVM without Python workers."""
     text = json.dumps(rows, default=lambda v: v.isoformat() if isinstance(v, datetime) else str(v))
