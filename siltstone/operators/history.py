@@ -13,8 +13,6 @@ from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, heavy_keys, split_hea
 from siltstone.session import saved
 
 START, END, DELETED = "__START_AT", "__END_AT", "__DELETED"
-
-
 HEAD = "_head"
 
 

@@ -12,10 +12,30 @@ from workload import views
 
 SF = "/root/testdata/sf0.001"
 
-# The marts as a user states them: join first, aggregate after.
+# The marts' metadata as a user states it, joining first and aggregating after.
 ALIASES = {"FactOrder": "o", "FactOrderItem": "oi", "DimProduct": "p", "DimCustomer": "c"}
 ORDER_ITEM = {"left": "FactOrder", "right": "FactOrderItem", "on": "order_id", "type": "inner"}
 STATED = [
+    {
+        "name": "fact_sales_summary",
+        "source_tables": ["FactOrder", "FactOrderItem", "DimProduct", "DimCustomer"],
+        "joins": [
+            ORDER_ITEM,
+            {"left": "FactOrderItem", "right": "DimProduct", "on": "product_id", "type": "left"},
+            {"left": "FactOrder", "right": "DimCustomer", "on": [["customer_id", "customer_id"]], "type": "LEFT OUTER"},
+        ],
+        "select_columns": list(catalog.FACT_SALES_SUMMARY.select),
+    },
+    {
+        "name": "dim_customer_enriched",
+        "source_tables": ["DimCustomer", "FactOrder"],
+        "joins": [{"left": "DimCustomer", "right": "FactOrder", "on": "customer_id", "type": "left"}],
+        "select_columns": [
+            "c.customer_id", "c.customer_unique_id", "c.customer_zip_code_prefix", "c.customer_city", "c.customer_state",
+            "COUNT(o.order_id) as total_orders", "MAX(o.order_purchase_timestamp) as last_order_date",
+        ],
+        "group_by": ["c.customer_id", "c.customer_unique_id", "c.customer_zip_code_prefix", "c.customer_city", "c.customer_state"],
+    },
     {
         "name": "agg_daily_sales",
         "source_tables": ["FactOrder", "FactOrderItem"],
@@ -41,26 +61,6 @@ STATED = [
         ],
         "group_by": ["oi.product_id", "p.product_category_name"],
     },
-    {
-        "name": "dim_customer_enriched",
-        "source_tables": ["DimCustomer", "FactOrder"],
-        "joins": [{"left": "DimCustomer", "right": "FactOrder", "on": "customer_id", "type": "left"}],
-        "select_columns": [
-            "c.customer_id", "c.customer_unique_id", "c.customer_zip_code_prefix", "c.customer_city", "c.customer_state",
-            "COUNT(o.order_id) as total_orders", "MAX(o.order_purchase_timestamp) as last_order_date",
-        ],
-        "group_by": ["c.customer_id", "c.customer_unique_id", "c.customer_zip_code_prefix", "c.customer_city", "c.customer_state"],
-    },
-    {
-        "name": "fact_sales_summary",
-        "source_tables": ["FactOrder", "FactOrderItem", "DimProduct", "DimCustomer"],
-        "joins": [
-            ORDER_ITEM,
-            {"left": "FactOrderItem", "right": "DimProduct", "on": "product_id", "type": "left"},
-            {"left": "FactOrder", "right": "DimCustomer", "on": [["customer_id", "customer_id"]], "type": "LEFT OUTER"},
-        ],
-        "select_columns": list(catalog.FACT_SALES_SUMMARY.select),
-    },
 ]
 
 

@@ -1,4 +1,3 @@
-from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 

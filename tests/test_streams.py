@@ -1,9 +1,7 @@
 import random
-from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from siltstone.operators.history import current, scd1, scd2
 from siltstone.operators.quality import expect
