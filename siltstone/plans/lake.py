@@ -94,6 +94,15 @@ class Lake:
         """Publishes the marts."""
         return build_all(marts, self.tables(mode), self.gold)
 
+    def vacuum(self, older_than_hours: float = 24.0) -> None:
+        """Deletes what failed loads and replaced versions left behind, in every layer."""
+        tables = {s.name for s in self.specs.values()}
+        for store in (self.bronze, self.silver):
+            for table in tables:
+                store.vacuum(table, older_than_hours)
+        for table in tables | {t.log for t in self.targets.values()}:
+            self.tracked.vacuum(table, older_than_hours)
+
     def refresh(
         self, source, loads: Iterable[LoadSpec] = LOADS, marts: Iterable[MartSpec] = MARTS, mode: str = "current", **options
     ) -> DataFrame:

@@ -135,6 +135,7 @@ def publish(spec: MartSpec, df: DataFrame, store: LoadStore, register_as: str |
         facts = store.write(df, spec.name, draft)
         plain = store.spark.read.schema(df.schema).parquet(store.data(spec.name, draft))
         facts |= store.write(zorder(plain, spec.cluster_by, folders), spec.name, version, partition_by=folders)
+        store.discard(spec.name, draft)
     else:
         facts = store.write(by_folder(df, folders), spec.name, version, partition_by=folders)
     store.commit(spec.name, version, "full", **facts)

@@ -180,15 +180,25 @@ class LoadStore:
             catalog.createTable(name, path=path, source="parquet", schema=schema)
         catalog.refreshTable(name)
 
+    def _files(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def discard(self, table: str, load_id: str) -> None:
+        """Deletes the folder of a load that was never committed."""
+        if self.committed(table, load_id):
+            raise ValueError(f"{table}: load {load_id} is committed")
+        folder, files = self._files(self.data(table, load_id))
+        files.delete(folder, True)
+
     def vacuum(self, table: str, older_than_hours: float = 24.0) -> list[str]:
-        """Deletes load folders no reader of the committed table opens: failed and empty loads,
-        drafts and replaced versions.  Younger folders stay, as a job may still use them."""
+        """Deletes load folders no reader of the committed table opens: failed and empty loads and
+        replaced versions.  Younger folders stay, as a job may still use them."""
         used = {p.split("/load_id=")[1].split("/")[0] for p in _folders(self.visible(table), self.data(table))}
-        base = self.spark._jvm.org.apache.hadoop.fs.Path(self.data(table))
-        files = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        base, files = self._files(self.data(table))
         limit = (datetime.now(timezone.utc).timestamp() - older_than_hours * 3600) * 1000
         dropped = []
-        for entry in files.listStatus(base):
+        for entry in files.listStatus(base) if files.exists(base) else []:
             load_id = entry.getPath().getName().removeprefix("load_id=")
             if load_id not in used and entry.getModificationTime() <= limit:
                 files.delete(entry.getPath(), True)

@@ -91,6 +91,13 @@ def test_failed_load_is_invisible_and_vacuumed(spark, store):
     assert ids(store.read("FactOrder")) == [1]
 
 
+def test_a_committed_load_is_not_discarded(spark, store):
+    ingest(spark, source(orders(spark, (1, "2024-01-01"))), ORDERS, store)
+    with pytest.raises(ValueError, match="is committed"):
+        store.discard("FactOrder", store.visible("FactOrder")[0].load_id)
+    assert store.vacuum("never_loaded", older_than_hours=-1) == []
+
+
 def test_full_load_replaces(spark, store):
     load = LoadSpec("dbo", "FactOrder")
     ingest(spark, source(orders(spark, (1, None), (2, None))), load, store)

@@ -132,7 +132,7 @@ def test_publish_replaces_and_registers(spark, tmp_path):
     fewer = df.where("total_orders > 12")
     publish(spec, fewer, store, "gold_customers")
     assert store.read(spec.name).count() == spark.table("gold_customers").count() == fewer.count() < first
-    assert len(store.vacuum(spec.name, older_than_hours=-1)) == 3
+    assert len(store.vacuum(spec.name, older_than_hours=-1)) == 1
     publish(replace(spec, cluster_by=()), fewer.withColumn("note", F.lit("x")), store, "gold_customers")
     assert "note" in spark.table("gold_customers").columns and spark.table("gold_customers").count() == fewer.count()
 

@@ -83,4 +83,7 @@ def test_refresh_publishes_the_marts(spark, tmp_path):
         lake.refresh(source(spark, n), CONFIG, parallel=4)
     sold = lake.gold.read("agg_product_performance").collect()
     assert [(r.product_id, r.total_units_sold, float(r.total_revenue)) for r in sold] == [("p1", 4, 55.0)]
+    lake.vacuum(older_than_hours=-1)
+    assert lake.gold.read("fact_sales_summary").count() == 4
+    lake.refresh(source(spark, 2), CONFIG)
     assert lake.gold.read("fact_sales_summary").count() == 4
