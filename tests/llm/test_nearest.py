@@ -1,0 +1,56 @@
+import numpy as np
+
+from siltstone.llm import nearest
+
+
+def brute(rows, queries, k):
+    out = {}
+    for q, v in queries:
+        scores = [(-sum_in_order(v, w), i) for i, w in rows if i != q]
+        out[q] = [(i, -s) for s, i in sorted(scores)[:k]]
+    return out
+
+
+def sum_in_order(a, b):
+    total = 0.0
+    for x, y in zip(a, b, strict=True):
+        total += x * y
+    return total
+
+
+def answers(df):
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return got
+
+
+def test_query_is_exact(spark, sf):
+    rows = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert answers(nearest.op8_nearest(spark, sf)) == brute(rows, [r for r in rows if r[0] % 20 == 0], 20)
+
+
+def test_ties_shards_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SHARD_ROWS", 100)
+    monkeypatch.setattr(nearest, "QUERY_ROWS", 7)
+    rng = np.random.default_rng(5)
+    fine = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * (1 + i % 3)]) for i in range(400)]
+    fine += [(i, [0.5, 0.25, 0.125, 1.0, 0.3, 0.7]) for i in range(400, 700)]  # one vector, many times
+    odd = [(900, None), (901, [0.0] * 6), (902, [float("nan")] * 6), (903, [None, 1.0, 1.0, 1.0, 1.0, 1.0]), (904, [float("inf")] * 6), (None, [1.0] * 6), (905, []), (3, fine[3][1])]
+    df = spark.createDataFrame(fine + odd, "vec_id long, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS score", "3 AS _v")
+    got = answers(nearest.nearest(df, df.where("vec_id % 20 = 0"), 20))
+    assert got == brute(fine, [r for r in fine if r[0] % 20 == 0], 20)
+
+
+def test_few_rows_and_other_lengths(spark):
+    rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert answers(nearest.nearest(df, df, 20)) == {0: [(1, 5.0)], 1: [(0, 5.0)]}
+    assert nearest.nearest(df.limit(0), df, 5).count() == 0
+    assert nearest.nearest(df, df.limit(0), 5).count() == 0
+
+
+def test_relaxed_pruning_keeps_most(spark, sf):
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    exact = nearest.nearest(df, df.where("vec_id % 20 = 0"), 20)
+    assert nearest.recall(nearest.nearest(df, df.where("vec_id % 20 = 0"), 20, factor=1.1), exact) >= 0.9
