@@ -98,7 +98,6 @@ def components(links: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")

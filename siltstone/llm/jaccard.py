@@ -340,6 +340,29 @@ class _Join:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _grouped_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``_k1, _k2, _id, _n, _node, _c`` (component) of keyed documents."""
+    join = _Join(docs, words, percent)
+    links = None
+    for turn in range(STAR_ROUNDS):
+        more = join.within(join.star(join.grouped(links), turn), turn)
+        links = more if links is None else links.unionByName(more)
+    links = links.unionByName(join.links(join.tiles(join.grouped(links))))
+    found = components(links).select(F.col("id").alias("_node"), "component")
+    return stored(join.rows.join(found, "_node", "left").withColumn("_c", F.coalesce("component", "_node")).drop("component"), "grouped")
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df``, all their columns, of one document per component: the one with the smallest id
+    (null first), then text hash.  Texts without words all stay.  Rows that repeat id and text stay together."""
+    rows = _grouped_rows(keyed(df, id_col, text_col), words, percent)
+    best = rows.where("_n > 0").groupBy("_c").agg(F.min(F.struct("_k1", "_k2")).alias("_best"))
+    gone = rows.where("_n > 0").join(best, "_c").where(F.struct("_k1", "_k2") != F.col("_best")).select("_k1", "_k2").distinct()
+    gone = _small(stored(gone, "copies").toDF("_key_one", "_key_two"))
+    one, two = F.coalesce(df[id_col].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(df[text_col], F.lit("")))
+    return df.join(gone, (one == gone["_key_one"]) & (two == gone["_key_two"]), "left_anti")
+
+
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``df``: id, ``n_shingles``, ``component_id``, the smallest id reachable over links.
 
@@ -348,15 +371,7 @@ def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     they are their own component.  Rows that repeat a text are linked; rows of one id with different texts
     are answered each.  Rows without an id take part, but never name a component unless alone.  Further
     columns are left out; empty gives empty."""
-    docs = keyed(df, id_col, text_col)
-    join = _Join(docs, words, percent)
-    links = None
-    for turn in range(STAR_ROUNDS):
-        more = join.within(join.star(join.grouped(links), turn), turn)
-        links = more if links is None else links.unionByName(more)
-    links = links.unionByName(join.links(join.tiles(join.grouped(links))))
-    found = components(links).select(F.col("id").alias("_node"), "component")
-    rows = join.rows.join(found, "_node", "left").withColumn("_c", F.coalesce("component", "_node"))
+    rows = _grouped_rows(keyed(df, id_col, text_col), words, percent)
     least = rows.where("_n > 0").groupBy("_c").agg(F.min("_id").alias("_least"))
     rows = rows.join(least, "_c", "left")
     own = F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id"))
