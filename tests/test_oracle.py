@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import connect, differences
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,13 +12,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     assert differences(con, entry.queries()[name](spark, SF), entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
