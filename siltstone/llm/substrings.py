@@ -27,6 +27,9 @@ WINDOW, GRAM = 35, 12
 _OTHER = np.uint64(0xA0761D6478BD642F)
 # Words that are hashed together; a longer document makes a piece of its own.
 PIECE_WORDS = 500_000
+MORE = 16  # bits for the number of further windows of a factor (below WINDOW)
+# Keys of two numbers that are broadcast at most (some 25 MB).
+KEYS_BROADCAST = 500_000
 
 
 def least_positions(values: np.ndarray, width: int) -> np.ndarray:
@@ -88,52 +91,92 @@ def parse(words: list[list[bytes]], window: int, gram: int) -> tuple[np.ndarray,
 
 
 def factors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """All factors ``_anchor, _factor, _k1, _k2, _a, _b`` of keyed documents."""
+    """All factors ``_anchor, _factor, _k1, _k2, _at`` of keyed documents; ``_at`` holds the first window
+    and, in the low bits, how many more there are."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             k1, k2 = batch["_k1"].to_numpy(), batch["_k2"].to_numpy()
             for first, end, words in _stretches(list(batch["_text"])):
                 at, anchor, whole, a, b, _, _ = parse(words, window, gram)
-                yield pd.DataFrame({"_anchor": anchor, "_factor": whole, "_k1": k1[first:end][at], "_k2": k2[first:end][at], "_a": a.astype(np.int32), "_b": b.astype(np.int32)})
+                yield pd.DataFrame({"_anchor": anchor, "_factor": whole, "_k1": k1[first:end][at], "_k2": k2[first:end][at], "_at": (a << MORE) + b - a})
 
-    return docs.select("_k1", "_k2", "_text").mapInPandas(run, "_anchor long, _factor long, _k1 long, _k2 long, _a int, _b int")
+    return docs.select("_k1", "_k2", "_text").mapInPandas(run, "_anchor long, _factor long, _k1 long, _k2 long, _at long")
+
+
+def matched(found: DataFrame) -> DataFrame:
+    """Factors of the blocks with several: ``_anchor, _k1, _k2, _at, _copied, _edge``.
+
+    ``_copied``: the same factor stands elsewhere.  ``_edge``: one of each different factor, if its block
+    has other ones.  Both follow from the neighbours in sorted order, so no task holds a block."""
+    names = ["_anchor", "_factor", "_k1", "_k2", "_at"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wait = np.zeros((0, len(names)), np.int64)  # the row whose successor isn't known
+        before = (False, False, False)  # its anchor, its factor is that before it; its block had others
+        for batch in batches:
+            rows = np.vstack([wait, batch.to_numpy(np.int64)])
+            if not len(rows):
+                continue
+            block, same = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+            block[1:] = rows[1:, 0] == rows[:-1, 0]
+            same[1:] = block[1:] & (rows[1:, 1] == rows[:-1, 1])
+            others = block & ~same
+            if len(wait):
+                block[0], same[0], others[0] = before
+            place = np.arange(len(rows))
+            begins = np.maximum.accumulate(np.where(block, 0, place))
+            later = np.maximum.accumulate(np.where(others, place, -1)) >= begins
+            yield told(rows[:-1], same[:-1], later[:-1], block[1:], same[1:])
+            wait, before = rows[-1:], (bool(block[-1]), bool(same[-1]), bool(later[-1]))
+        if len(wait):
+            no = np.zeros(1, bool)
+            yield told(wait, np.array([before[1]]), np.array([before[2]]), no, no)
+
+    def told(rows, same, later, next_block, next_same) -> pd.DataFrame:
+        copied, edge = same | next_same, ~next_same & (later | next_block)
+        keep = copied | edge
+        out = pd.DataFrame(rows[keep], columns=names).drop(columns="_factor")
+        return out.assign(_copied=copied[keep], _edge=edge[keep])
+
+    rows = found.repartition("_anchor").sortWithinPartitions("_anchor", "_factor")
+    return rows.mapInPandas(run, "_anchor long, _k1 long, _k2 long, _at long, _copied boolean, _edge boolean")
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """``_anchor, _window, _times, _k1, _k2, _a`` for every window of the factors in ``_want`` of each row."""
+    """``_anchor, _window, _copied, _k1, _k2, _a`` for every window of the factors in ``_want`` of each row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text, k1, k2, want in zip(batch["_text"], batch["_k1"], batch["_k2"], batch["_want"], strict=True):
                 hashes = run_hashes(word_hashes(text.encode().split()), window).view(np.int64)
-                flat = np.array([(w["_a"], w["_b"], w["_anchor"], w["_times"]) for w in want], np.int64).reshape(-1, 4)
+                flat = np.array([(w["_a"], w["_b"], w["_anchor"], w["_copied"]) for w in want], np.int64).reshape(-1, 4)
                 size = flat[:, 1] - flat[:, 0] + 1
                 which = np.repeat(np.arange(len(flat)), size)
                 place = flat[which, 0] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                yield pd.DataFrame({"_anchor": flat[which, 2], "_window": hashes[place], "_times": flat[which, 3], "_k1": k1, "_k2": k2, "_a": place.astype(np.int32)})
+                yield pd.DataFrame({"_anchor": flat[which, 2], "_window": hashes[place], "_copied": flat[which, 3] == 1, "_k1": k1, "_k2": k2, "_a": place.astype(np.int32)})
 
-    return rows.mapInPandas(run, "_anchor long, _window long, _times long, _k1 long, _k2 long, _a int")
+    return rows.mapInPandas(run, "_anchor long, _window long, _copied boolean, _k1 long, _k2 long, _a int")
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``_k1, _k2, _a, _b``: stretches of windows (first and last) that occur elsewhere too."""
-    found = stored(factors(docs, window, gram), "factors")
-    # One row per distinct factor: how often it stands, and one place where it does.
-    firsts = [F.first(c).alias(c) for c in ("_k1", "_k2", "_a", "_b")]
-    distinct = stored(found.groupBy("_anchor", "_factor").agg(F.count("*").alias("_times"), *firsts), "distinct")
-    copied = distinct.where("_times > 1").select("_anchor", "_factor")
-    whole = found.join(copied, ["_anchor", "_factor"], "left_semi").select("_k1", "_k2", "_a", "_b")
-    # Blocks with several different factors: boundaries of copies.
-    several = distinct.groupBy("_anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("_anchor")
-    edges = distinct.join(several, "_anchor", "left_semi")
-    edges = edges.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_a", "_b", "_anchor", "_times")).alias("_want"))
-    looked = stored(_windows(edges.join(docs.select("_k1", "_k2", "_text"), ["_k1", "_k2"]), window), "windows")
+    found = stored(matched(factors(docs, window, gram)), "matched")
+    first, last = F.shiftright("_at", MORE), F.shiftright("_at", MORE) + F.col("_at").bitwiseAND((1 << MORE) - 1)
+    found = found.withColumn("_a", first.cast("int")).withColumn("_b", last.cast("int"))
+    whole = found.where("_copied").select("_k1", "_k2", "_a", "_b")
+    # Boundaries of copies: the windows of each different factor of a block.
+    edges = found.where("_edge").groupBy("_k1", "_k2").agg(F.collect_list(F.struct("_a", "_b", "_anchor", "_copied")).alias("_want"))
+    edges = stored(edges, "edges")
+    texts = docs.select("_k1", "_k2", "_text")
+    if edges.count() <= KEYS_BROADCAST:
+        texts = texts.join(F.broadcast(edges.select("_k1", "_k2")), ["_k1", "_k2"], "left_semi")
+    looked = stored(_windows(edges.join(texts, ["_k1", "_k2"]), window), "windows")
     # In two places at least; repeated rows of one document are looked up at the same place.
     place = F.xxhash64("_k1", "_k2", "_a")
     again = looked.groupBy("_anchor", "_window").agg(F.min(place).alias("_p"), F.max(place).alias("_q")).where("_p != _q")
-    # Windows of a factor that stands more than once are in ``whole`` already.
-    single = looked.where("_times = 1").join(again, ["_anchor", "_window"], "left_semi")
+    # Windows of a copied factor are in ``whole`` already.
+    single = looked.where("NOT _copied").join(again, ["_anchor", "_window"], "left_semi")
     return whole.unionByName(single.select("_k1", "_k2", "_a", F.col("_a").alias("_b")))
 
 
