@@ -32,7 +32,7 @@ WORDS, PERCENT = 5, 80
 # The table of shingle counts has this many cells, whatever the size of the corpus (4 MB), and is
 # sent in chunks.
 CELLS, CHUNKS = 1 << 20, 64
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 # Nodes of a group that are compared in one task.
 BLOCK_NODES = 1024
 # A shingle with more nodes than this is compared in tiles of two blocks of this many.
@@ -219,13 +219,14 @@ class _Join:
         profile = _profile(docs, words)
         self.rows = profile.where("_chunk IS NULL").select("_k1", "_k2", "_id", "_n", "_node")
         firsts = [F.first(c).alias(c) for c in ("_k1", "_k2")]
-        self.nodes = self.rows.where("_n > 0").groupBy("_node").agg(*firsts)
+        self.nodes = stored(self.rows.where("_n > 0").groupBy("_node").agg(*firsts), "nodes")
         self.shared = stored(_shared(_prefixes(docs, _order(profile), words, percent)), "shared")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
         """``_node, _set, _bits`` (sorted array and signature) of some distinct nodes."""
         words = self.words
-        keys = stored(nodes.join(self.nodes.select("_node", "_k1", "_k2"), "_node"), "keys")
+        nodes = _small(stored(nodes, "wanted"))
+        keys = stored(self.nodes.select("_node", "_k1", "_k2").join(nodes, "_node"), "keys")
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -293,7 +294,7 @@ class _Join:
         if links is None:
             return rows.withColumn("_c", F.col("_node"))
         found = components(links).select(F.col("id").alias("_node"), "component")
-        rows = rows.join(found, "_node", "left").withColumn("_c", F.coalesce("component", "_node")).drop("component")
+        rows = rows.join(_small(stored(found, "found")), "_node", "left").withColumn("_c", F.coalesce("component", "_node")).drop("component")
         open_ = rows.groupBy("_shingle").agg(F.min("_c").alias("_p"), F.max("_c").alias("_q")).where("_p != _q").select("_shingle")
         return stored(rows.join(open_, "_shingle", "left_semi"), "open")
 
@@ -349,7 +350,7 @@ def _grouped_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
         links = more if links is None else links.unionByName(more)
     links = links.unionByName(join.links(join.tiles(join.grouped(links))))
     found = components(links).select(F.col("id").alias("_node"), "component")
-    return stored(join.rows.join(found, "_node", "left").withColumn("_c", F.coalesce("component", "_node")).drop("component"), "grouped")
+    return stored(join.rows.join(_small(stored(found, "found")), "_node", "left").withColumn("_c", F.coalesce("component", "_node")).drop("component"), "grouped")
 
 
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
