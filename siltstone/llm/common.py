@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.session import workspace
@@ -88,20 +88,22 @@ def components(links: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
     neighbour, with a minimum per node (combined before the shuffle) and a join that AQE can split
     on hot nodes.  Rounds grow with the logarithm of the longest path; each is stored."""
     a, b = F.least(low, high), F.greatest(low, high)
-    edges = stored(links.where(F.col(low) != F.col(high)).select(b.alias("u"), a.alias("v")).distinct(), "links")
 
-    def mark(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    def kept(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The stored edges and a mark of them, taken while they are written."""
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s"))
+        out = stored(df, "links")
+        return out, (seen.get["n"], seen.get["s"])
 
-    before = mark(edges)
+    edges, before = kept(links.where(F.col(low) != F.col(high)).select(b.alias("u"), a.alias("v")).distinct())
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
-        now = mark(edges)
+        edges, now = kept(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         if now == before:
             break
         before = now
