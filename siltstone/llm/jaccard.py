@@ -33,8 +33,8 @@ WORDS, PERCENT = 5, 80
 # sent in chunks.
 CELLS, CHUNKS = 1 << 20, 64
 STAR_ROUNDS = 1
-# Nodes of a group that are compared in one task.
-BLOCK_NODES = 1024
+# Nodes of a group, and items of their sets (32 MB), that are compared in one task.
+BLOCK_NODES, BLOCK_ITEMS = 4096, 4_000_000
 # A shingle with more nodes than this is compared in tiles of two blocks of this many.
 TILE_ROWS = 512
 # So many keys of three numbers are broadcast at most (some 30 MB), else Spark joins as it sees fit.
@@ -262,13 +262,13 @@ class _Join:
         return stored(maybe.join(left, "a").join(right, "b").mapInPandas(exact, "a long, b long"), "links")
 
     def within(self, groups: DataFrame, turn: int) -> DataFrame:
-        """Links that join up the nodes of each group ``_hub, _node, _c``; nodes already in one
+        """Links that join up the nodes of each group ``_hub, _node, _n, _c``; nodes already in one
         component are not compared, nor any that a found link brings together.
 
         A large group is dealt into blocks of bounded size, otherwise in the next round."""
         percent = self.percent
         groups = stored(groups, "groups")
-        sizes = groups.groupBy("_hub").agg(F.ceil(F.count("*") / BLOCK_NODES).alias("_blocks"))
+        sizes = groups.groupBy("_hub").agg(F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("_n") / BLOCK_ITEMS)).alias("_blocks"))
         held = self.sets(groups.select("_node").distinct())
         rows = groups.join(sizes, "_hub").withColumn("_block", F.pmod(F.xxhash64(F.lit(turn), "_node"), "_blocks")).join(held, "_node")
 
@@ -299,7 +299,7 @@ class _Join:
         return stored(rows.join(open_, "_shingle", "left_semi"), "open")
 
     def star(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Groups ``_hub, _node, _c``: each node with the other it meets most often among the firsts of its
+        """Groups ``_hub, _node, _n, _c``: each node with the other it meets most often among the firsts of its
         shingles, if that is in a quarter of its prefix.  First is the least by a hash of this round: the
         same for all shingles, so copies choose the same hub.  For nodes in the first's component, the first of
         another component stands in."""
@@ -311,12 +311,11 @@ class _Join:
         other = F.when(F.col("_c") != F.col("_f.c"), F.col("_f")).otherwise(F.col("_g"))
         met = rows.select("_node", "_n", "_c", other.alias("_o"))
         close = F.least("_n", "_o.n") * 100 >= F.greatest("_n", "_o.n") * self.percent
-        votes = met.where(close).groupBy("_node", "_n", "_c", F.col("_o.v").alias("_v"), F.col("_o.c").alias("_d")).agg(F.count("*").alias("_votes"))
+        votes = met.where(close).groupBy("_node", "_n", "_c", F.col("_o.v").alias("_v"), F.col("_o.c").alias("_d"), F.col("_o.n").alias("_m")).agg(F.count("*").alias("_votes"))
         votes = votes.where(F.col("_votes") * 4 * 100 >= F.col("_n") * (100 - self.percent))
-        best = votes.groupBy("_node", "_c").agg(F.max(F.struct("_votes", "_v", "_d")).alias("_b"))
-        best = best.select(F.col("_b._v").alias("_hub"), F.col("_b._d").alias("_d"), "_node", "_c")
-        hubs = best.select("_hub", F.col("_hub").alias("_node"), F.col("_d").alias("_c"))
-        return best.select("_hub", "_node", "_c").unionByName(hubs).distinct()
+        best = votes.groupBy("_node", "_n", "_c").agg(F.max(F.struct("_votes", "_v", "_d", "_m")).alias("_b"))
+        hubs = best.select(F.col("_b._v").alias("_hub"), F.col("_b._v").alias("_node"), F.col("_b._m").alias("_n"), F.col("_b._d").alias("_c"))
+        return best.select(F.col("_b._v").alias("_hub"), "_node", "_n", "_c").unionByName(hubs).distinct()
 
     def tiles(self, rows: DataFrame) -> DataFrame:
         """Pairs ``a, b`` of nodes of one shingle, in different components, of sizes and places that may match.
