@@ -180,7 +180,7 @@ def fit(rows: Rows, label: np.ndarray, rounds: int = 30) -> tuple[dict[int, floa
     x[:, -1] = 1
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(share / (1 - share))
-    ridge = np.full(len(w), 0.2)
+    ridge = np.full(len(w), 0.05)
     ridge[-1] = 1e-3
 
     def loss(w: np.ndarray) -> float:

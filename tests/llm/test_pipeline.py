@@ -1,0 +1,58 @@
+import random
+
+import corpus_pipeline
+
+from siltstone.llm import mixing
+from tests.llm.test_jaccard import shingle_set
+
+
+def corpus(rng):
+    prose = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "ru", "ta", "vo") for b in ("", "da", "ri", "so", "tem", "un", "wel")]
+    write = lambda n: " ".join(rng.choice(prose) for _ in range(n)) + "."
+    items = [write(30) for _ in range(5)]
+    fine = {i: "\n".join(write(25) for _ in range(4)) for i in range(300)}
+    toxic = {i: write(40) + " " + " ".join(rng.choice(("hatefulone", "uglyword", "vileterm")) for _ in range(4)) + " " + write(30) for i in range(300, 360)}
+    junk = {i: " ".join(w.upper() + "!!" for w in write(60).split()) for i in range(360, 420)}
+    leaked = {420 + k: write(20) + " " + t + " " + write(20) for k, t in enumerate(items)}
+    copies = {430 + k: fine[k] for k in range(10)}
+    return items, fine, toxic, junk, leaked, copies
+
+
+def test_stages_do_what_they_say(spark, tmp_path):
+    items, fine, toxic, junk, leaked, copies = corpus(random.Random(8))
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for part in (fine, toxic, junk, leaked, copies) for i, t in part.items()]
+    rows += [(900, None, None, None, None), (901, "", "en", "s0", 0), (901, "", "en", "s0", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i not in junk), int(i in toxic)) for i, *_ in rows if i % 2 == 0] + [(None, None, None), (0, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([*enumerate(items), (99, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    columns = docs.columns
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < 4:
+            assert docs.columns == columns
+        kept.append({r["doc_id"] for r in docs.collect()})
+    clean = set(fine) | {900, 901}
+    assert clean <= kept[0] and not kept[0] & (set(toxic) | set(junk)) and set(leaked) | set(copies) <= kept[0]
+    assert kept[1] == kept[0] - set(copies)
+    assert kept[2] == kept[1]
+    assert kept[3] == kept[2] - set(leaked) and clean <= kept[3]
+    assert kept[4] == kept[3]
+    taken = {r["doc_id"]: (r["size"], r["taken"]) for r in docs.collect()}
+    assert all(0 <= t <= 3 * n for n, t in taken.values())
+
+
+def test_near_copies_leave_one(spark):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(5, " ".join(words), "a"), (2, " ".join([*words[:50], "x", *words[51:]]), "b"), (9, " ".join(words), "c"), (7, None, "d"), (8, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert len(shingle_set(rows[0][1]) & shingle_set(rows[1][1])) == 91
+    got = corpus_pipeline.near_copies(spark, docs, "")
+    assert sorted(map(tuple, got.collect())) == sorted(r for r in rows if r[0] in (2, 7, 8))
+
+
+def test_last_stage_is_the_mix(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert sorted(map(tuple, corpus_pipeline.source_mix(spark, docs, sf).collect())) == sorted(map(tuple, mixing.op9_mix(spark, sf).collect()))
