@@ -31,6 +31,7 @@ KEPT_WORDS = 200_000  # words whose buckets each Python worker remembers
 OFTEN, SELDOM = 0.012, 0.0005
 # Buckets the linear model uses at most, and how many times more frequent a lexical one must be.
 USED, RATIO = 1024, 8
+PURE, PURE_ROWS = 0.98, 8
 
 # A document goes when its score reaches the mark; a missed toxic one costs more than a lost fine one.
 JUNK_AT, TOXIC_AT = 0.5, 0.25
@@ -197,7 +198,10 @@ def fit(rows: Rows, label: np.ndarray, rounds: int = 30) -> tuple[dict[int, floa
         if now - new < 1e-6 * now:
             break
         w, now = w - step, new
-    return dict(zip(keys[used].tolist(), (w[:-1] * scale).tolist(), strict=True)), float(w[-1])
+    # Words that come together share their weight; one that stands in yes rows only convicts alone.
+    pure = (keys[used] >= SHAPES) & (own[used] >= PURE * total[used]) & (total[used] >= PURE_ROWS)
+    weight = np.where(pure, np.maximum(w[:-1] * scale, np.log(9) - w[-1]), w[:-1] * scale)
+    return dict(zip(keys[used].tolist(), weight.tolist(), strict=True)), float(w[-1])
 
 
 @dataclass
