@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import table
 
 # The bound of the sample of labelled rows that the lexicons and the scorer are fitted on.
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 4000
 # Hash buckets: lexical ones count as present or not, shape ones (the first) by their share of the words.  There
 # are so many lexical ones that even a very long text meets none of the model's by chance.
 SHAPES, LEXICAL = 1 << 12, 1 << 48
@@ -272,11 +272,11 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lex = [np.frombuffer(r["lex"], np.int64) for r in sample]
     gold = np.array([[-1 if r[c] is None else r[c] for c in ("_junk", "_toxic")] for r in sample], int).reshape(-1, 2)
     lexicons = _lexicons(lex, gold[:, 1])
-    sent = docs.sparkSession.sparkContext.broadcast(lexicons)
+    sent = docs.sparkSession.sparkContext.broadcast(Lexicons(lexicons))
 
     def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(*junk_votes(t, t.split()), *toxic_votes(lexical(t), sent.value)) for t in batch["_text"]]
+            rows = [(*junk_votes(t, t.split()), *sent.value.votes(t)) for t in batch["_text"]]
             made = pd.DataFrame(rows, columns=[*_VOTES, "t0", "t1"], dtype="int32")
             for c in ("_junk", "_toxic"):
                 made[c] = batch[c].fillna(-1).astype("int32").to_numpy()
@@ -297,13 +297,16 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for r, l, g in zip(sample, lex, gold.tolist(), strict=True):
         junk.append(post[0][(*r["votes"], g[0])])
         toxic.append(post[1][(*toxic_votes(l, lexicons), g[1])])
-    parts = [(l, np.frombuffer(r["keys"], np.int64), np.frombuffer(r["shares"], np.float32)) for r, l in zip(sample, lex, strict=True)]
-    keys = [np.concatenate([l, k]) for l, k, _ in parts]
-    rows = Rows(
-        np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(int),
-        np.concatenate(keys) if keys else np.zeros(0, np.int64),
-        np.concatenate([np.concatenate([np.ones(len(l), np.float32), s]) for l, _, s in parts]) if parts else np.zeros(0, np.float32),
-    )
+    keys = [np.concatenate([l, np.frombuffer(r["keys"], np.int64)]) for r, l in zip(sample, lex, strict=True)]
+    values = [np.concatenate([np.ones(len(l), np.float32), np.frombuffer(r["shares"], np.float32)]) for r, l in zip(sample, lex, strict=True)]
+    sizes = np.array([len(k) for k in keys], int)
+    keys, values = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.float32), *values])
+    del sample, lex
+    seen, counts = np.unique(keys, return_counts=True)
+    often = np.isin(keys, seen[counts >= 4])  # rarer ones are never used
+    row = np.repeat(np.arange(len(sizes)), sizes)[often]
+    at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sizes)))]).astype(int)
+    rows = Rows(at, keys[often], values[often])
     return Model(*fit(rows, np.array(junk)), *fit(rows, np.array(toxic)))
 
 
@@ -325,6 +328,30 @@ def _lexicons(lex: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class Lexicons:
+    """The same votes as ``toxic_votes`` straight from a text; remembers which words count."""
+
+    def __init__(self, lexicons: list[np.ndarray]):
+        self.sets = [frozenset(words.tolist()) for words in lexicons]
+        self.found: dict[str, tuple] = {}
+
+    def _entries(self, word: str) -> tuple:
+        found = self.found.get(word)
+        if found is None:
+            buckets = _word_buckets(word)
+            found = tuple((k, b) for k, words in enumerate(self.sets) for b in buckets if b in words)
+            if len(self.found) < KEPT_WORDS and len(word) <= 64:
+                self.found[word] = found
+        return found
+
+    def votes(self, text: str) -> list[int]:
+        hits: list[set[int]] = [set() for _ in self.sets]
+        for word in set(_WORD.findall(text.lower())):
+            for k, b in self._entries(word):
+                hits[k].add(b)
+        return [int(len(h) >= 2) if words else -1 for h, words in zip(hits, self.sets, strict=True)]
+
+
 def toxic_votes(found: np.ndarray, lexicons: list[np.ndarray]) -> list[int]:
     return [int(np.isin(found, words, assume_unique=True).sum() >= 2) if len(words) else -1 for words in lexicons]
 
