@@ -30,7 +30,11 @@ def converted(df: DataFrame, name: str, kind: str | None, strict: bool) -> Colum
 
 
 def conform(df: DataFrame, spec: TableSpec, strict: bool = False, stamp: bool = True) -> DataFrame:
-    """The silver projection; works alike on a batch and on a stream."""
+    """The silver projection; works alike on a batch and on a stream.
+
+    A source without a key column, or, if strict, without any column, is an error; other missing
+    columns are NULL."""
+    require(df, list(spec.columns) if strict else [k for k in spec.keys if k in spec.columns], "conform")
     columns = [converted(df, name, kind, strict) for name, kind in spec.columns.items()]
     if stamp:
         columns.append(F.current_timestamp().alias(INGESTED_AT))

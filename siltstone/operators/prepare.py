@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,9 +13,17 @@ from siltstone.functions.order import hash60
 from siltstone.session import measured
 
 
+def _share(percent: float) -> tuple[int, int]:
+    """``percent`` as an exact fraction (part, whole), however small; whole is 10,000 at least."""
+    given = Decimal(str(percent))
+    scale = max(2, -given.as_tuple().exponent)
+    return int(given.scaleb(scale)), 10 ** (scale + 2)
+
+
 def sample_random(df: DataFrame, keys: Sequence[str], percent: float, seed: int = 0) -> DataFrame:
     """About ``percent`` of the keys with all their rows; the same keys on every run.  No shuffle."""
-    return df.where(hash60(keys, seed) % 10_000 < int(percent * 100))
+    part, whole = _share(percent)
+    return df.where(hash60(keys, seed) % whole < part)
 
 
 def sample_by_date(
@@ -41,7 +50,8 @@ def sample_by_date(
     per_bucket = rows.groupBy("_date", "_bucket").count()
     total = F.sum("count").over(Window.partitionBy("_date"))
     # Integer arithmetic: ceil(total * percent / 100) without rounding surprises.
-    wanted = F.floor((total * int(percent * 100) + 9_999) / 10_000).cast("bigint")
+    part, whole = _share(percent)
+    wanted = F.floor((total * part + whole - 1) / whole).cast("bigint")
     edge = reach(per_bucket.withColumn("_want", wanted), "_bucket", F.col("_want")).select(
         "_date", "_bucket", (F.col("_want") - (F.col("_upto") - F.col("count"))).alias("_need")
     )

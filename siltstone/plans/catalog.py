@@ -3,14 +3,23 @@
 Grain, columns and measures are fixed values.  How they are computed is chosen for large
 tables: a fact that is only summed up is first summed by its join key, and customers are joined
 to orders before orders fan out to items.  Prices have two decimals, so partial sums run in whole
-cents, which hash aggregation holds as plain longs; an overflow is an error, never a wrap.
+cents, which hash aggregation holds as plain longs; an overflow is an error, never a wrap, and so is a
+price with a fraction of a cent, never a cut.
 """
 
 from __future__ import annotations
 
 from siltstone.plans.marts import Join, MartSpec, Source
 
-_PRICE_CENTS = "SUM(CAST(price * 100 AS BIGINT)) AS price_cents"
+
+
+def _cents(column: str) -> str:
+    exact = f"{column} IS NULL OR {column} * 100 = CAST({column} * 100 AS BIGINT)"
+    error = f"raise_error('{column} has a fraction of a cent')"
+    return f"SUM(CASE WHEN {exact} THEN CAST({column} * 100 AS BIGINT) ELSE CAST({error} AS BIGINT) END)"
+
+
+_PRICE_CENTS = f"{_cents('price')} AS price_cents"
 _REVENUE = "CAST(SUM(oi.price_cents) * 0.01BD AS DECIMAL(20,2))"
 _AVG_PRICE = "CAST(try_divide(SUM(oi.price_cents) * 0.01BD, SUM(oi.price_count)) AS DECIMAL(14,6))"
 
@@ -93,7 +102,7 @@ AGG_DAILY_SALES = MartSpec(
                 "COUNT(order_item_id) AS items",
                 _PRICE_CENTS,
                 "COUNT(price) AS price_count",
-                "SUM(CAST(freight_value * 100 AS BIGINT)) AS freight_cents",
+                f"{_cents('freight_value')} AS freight_cents",
             ),
         ),
     ),

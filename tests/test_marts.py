@@ -154,3 +154,10 @@ def test_all_marts_in_order(spark, tmp_path):
     specs = [replace(m, grain="year") for m in catalog.MARTS]
     out = build_all(specs, tables, LoadStore(spark, str(tmp_path)))
     assert list(out) == [m.name for m in catalog.MARTS] and all(df.count() for df in out.values())
+
+
+def test_a_fraction_of_a_cent_is_never_cut(spark):
+    items = spark.sql("SELECT 1L AS order_item_id, 1L AS order_id, 1L AS product_id, CAST(0.0099 AS DECIMAL(10,4)) AS price, CAST(0.01 AS DECIMAL(10,4)) AS freight_value")
+    products = spark.sql("SELECT 1L AS product_id, 'x' AS product_category_name")
+    with pytest.raises(Exception, match="fraction of a cent"):
+        build(catalog.AGG_PRODUCT_PERFORMANCE, {"FactOrderItem": items, "DimProduct": products}).collect()

@@ -155,3 +155,18 @@ def test_calendar(spark):
     assert [r.date_key for r in rows] == [20240228, 20240229, 20240301]
     assert rows[1].day_name == "Thursday" and rows[1].day_of_week == 4 and not rows[1].is_weekend
     assert prepare.dim_date(df.where("false"), "t").count() == 0
+
+
+def test_missing_key_or_strict_column_is_an_error(spark):
+    df = spark.createDataFrame([("c1",)], "customer_id string")
+    with pytest.raises(ValueError, match="order_id"):
+        conform(df, FACT_ORDER)
+    with pytest.raises(ValueError, match="customer_id"):
+        conform(spark.createDataFrame([("o1",)], "order_id string"), FACT_ORDER, strict=True)
+
+
+def test_small_percentages_are_exact(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "k")
+    assert 500 < prepare.sample_random(df, ["k"], 0.29).count() < 660
+    assert prepare.sample_random(df, ["k"], 0.005).count() > 0
+    assert prepare._share(0.29) == (29, 10_000) and prepare._share(0.005) == (5, 100_000)
