@@ -26,7 +26,7 @@ SAMPLE_ROWS = 4000
 # are so many lexical ones that even a very long text meets none of the model's by chance.
 SHAPES, LEXICAL = 1 << 12, 1 << 48
 PREFIXES = (4, 5, 6)
-KEPT_WORDS = 200_000  # words whose buckets each Python worker remembers
+KEPT_WORDS = 500_000  # words whose buckets each Python worker remembers
 # A lexicon entry stands in this share of the documents in question, and this share of the others.
 OFTEN, SELDOM = 0.012, 0.0005
 # Buckets the linear model uses at most, and how many times more frequent a lexical one must be.
@@ -37,6 +37,7 @@ PURE, PURE_ROWS = 0.98, 8
 JUNK_AT, TOXIC_AT = 0.5, 0.25
 
 _WORD = re.compile(r"[^\W\d_]+")
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 _UPPER, _LOWER, _DIGITS = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
 _BUCKETS: dict[str, tuple[int, ...]] = {}
 
@@ -64,6 +65,11 @@ def lexical(text: str) -> np.ndarray:
 
 def _shape(word: str) -> str:
     """The word with runs of letters and digits as one sign each, at most four signs from its end."""
+    if word.isascii() and word.isalpha():
+        if word.islower():
+            return "a"
+        if word.istitle():
+            return "Aa" if len(word) > 1 else "A"
     return _DIGITS.sub("0", _LOWER.sub("a", _UPPER.sub("A", word)))[-4:]
 
 
@@ -97,12 +103,12 @@ def junk_votes(text: str, words: list[str]) -> list[int]:
     n = len(words)
     if not n:
         return [-1] * 7
-    letters = sum(map(str.isalpha, text))
-    signs = len(text) - sum(map(str.isspace, text))
+    letters = sum(map(len, _WORD.findall(text)))
+    signs = sum(map(len, words))
     repeated = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
     length = letters / n
     return [
-        _says(sum(map(str.isupper, text)) / max(1, letters), 0.5, 0.2),
+        _says(sum(map(len, _CAPITALS.findall(text))) / max(1, letters), 0.5, 0.2),
         _says(sum(w.endswith("!!") for w in words) / n, 0.15, 0.02),
         _says(words.count("|") / n, 0.15, 0.02),
         _says(sum(not w[-1].isalnum() and w[-1] not in ".,;:!?)\"'|" for w in words) / n, 0.15, 0.05),
