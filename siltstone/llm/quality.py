@@ -9,8 +9,10 @@ label a bounded sample, on which a linear model over hashed features is fitted.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,9 @@ JUNK_AT, TOXIC_AT = 0.5, 0.25
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
+_BEYOND = re.compile(r"[^\x00-\x7f]+")
+_NO_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
+_NO_CAPITALS = bytes(c for c in range(128) if not chr(c).isupper())
 _UPPER, _LOWER, _DIGITS = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
 _BUCKETS: dict[str, tuple[int, ...]] = {}
 
@@ -76,20 +81,23 @@ def _shape(word: str) -> str:
 _SHAPES: dict[str, int] = {}
 
 
-def shapes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def repeated(words: list[str]) -> int:
+    """How many words are the same as the one before."""
+    return sum(map(eq, words, words[1:]))
+
+
+def shapes(words: list[str], counted: Counter[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of word shapes, and of words that repeat the one before, with their shares."""
     counts: dict[int, int] = {}
-    last = None
-    for word in words:
+    if again := repeated(words):
+        counts[0] = again
+    for word, n in counted.items():
         at = _SHAPES.get(word)
         if at is None:
             at = xxhash.xxh3_64_intdigest(_shape(word)) % (SHAPES - 1) + 1
             if len(_SHAPES) < KEPT_WORDS and len(word) <= 64:
                 _SHAPES[word] = at
-        counts[at] = counts.get(at, 0) + 1
-        if word == last:
-            counts[0] = counts.get(0, 0) + 1
-        last = word
+        counts[at] = counts.get(at, 0) + n
     keys = sorted(counts)
     return np.array(keys, np.int64), np.array([counts[k] / max(1, len(words)) for k in keys], np.float32)
 
@@ -98,21 +106,31 @@ def _says(value: float, yes: float, no: float) -> int:
     return 1 if value >= yes else 0 if value <= no else -1
 
 
+def _letters(text: str) -> tuple[int, int]:
+    """How many letters and how many capitals: ASCII is counted as bytes, the rest by pattern."""
+    plain = text.encode("ascii", "ignore")
+    rest = "" if len(plain) == len(text) else "".join(_BEYOND.findall(text))
+    letters = len(plain.translate(None, _NO_LETTERS)) + sum(map(len, _WORD.findall(rest)))
+    return letters, len(plain.translate(None, _NO_CAPITALS)) + sum(map(len, _CAPITALS.findall(rest)))
+
+
 def junk_votes(text: str, words: list[str]) -> list[int]:
     """Labellers of junk: capitals, shouting, table debris, symbols, repetition, few letters, odd word lengths."""
     n = len(words)
     if not n:
         return [-1] * 7
-    letters = sum(map(len, _WORD.findall(text)))
-    signs = sum(map(len, words))
-    repeated = sum(a == b for a, b in zip(words, words[1:], strict=False)) / n
+    letters, capitals = _letters(text)
+    signs = len("".join(words))
     length = letters / n
+    shouts = sum(w.endswith("!!") for w in words) if "!!" in text else 0
+    ends = Counter([w[-1] for w in words])
+    symbols = sum(m for c, m in ends.items() if not c.isalnum() and c not in ".,;:!?)\"'|")
     return [
-        _says(sum(map(len, _CAPITALS.findall(text))) / max(1, letters), 0.5, 0.2),
-        _says(sum(w.endswith("!!") for w in words) / n, 0.15, 0.02),
+        _says(capitals / max(1, letters), 0.5, 0.2),
+        _says(shouts / n, 0.15, 0.02),
         _says(words.count("|") / n, 0.15, 0.02),
-        _says(sum(not w[-1].isalnum() and w[-1] not in ".,;:!?)\"'|" for w in words) / n, 0.15, 0.05),
-        _says(repeated, 0.2, 0.08) if n >= 8 else -1,
+        _says(symbols / n, 0.15, 0.05),
+        _says(repeated(words) / n, 0.2, 0.08) if n >= 8 else -1,
         _says(1 - letters / max(1, signs), 0.3, 0.1),
         _says(abs(length - 5) - 4, 4, 1),
     ]
@@ -222,19 +240,23 @@ class Model:
     def __post_init__(self) -> None:
         self.found: dict[str, tuple[int, ...]] = {}
 
-    def _buckets(self, word: str) -> tuple[int, ...]:
-        found = self.found.get(word)
+    def _buckets(self, token: str) -> tuple[int, ...]:
+        """Buckets of the model that the words of a token (a run without blanks) fall into."""
+        found = self.found.get(token)
         if found is None:
-            found = tuple(k for k in _word_buckets(word) if k in self.junk or k in self.toxic)
-            if len(self.found) < KEPT_WORDS and len(word) <= 64:
-                self.found[word] = found
+            words = _WORD.findall(token.lower())
+            found = tuple(k for word in words for k in _word_buckets(word) if k in self.junk or k in self.toxic)
+            if len(self.found) < KEPT_WORDS and len(token) <= 64:
+                self.found[token] = found
         return found
 
     def scores(self, text: str) -> tuple[float, float]:
-        keys, shares = shapes(text.split())
+        words = text.split()
+        counted = Counter(words)
+        keys, shares = shapes(words, counted)
         present = dict(zip(keys.tolist(), shares.tolist(), strict=True))
-        for word in set(_WORD.findall(text.lower())):
-            for key in self._buckets(word):
+        for token in counted:
+            for key in self._buckets(token):
                 present[key] = 1.0
         out = []
         for weights, bias in ((self.junk, self.junk_bias), (self.toxic, self.toxic_bias)):
@@ -268,7 +290,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             out = []
             for text in batch["_text"]:
                 words = text.split()
-                keys, shares = shapes(words)
+                keys, shares = shapes(words, Counter(words))
                 out.append((lexical(text).tobytes(), keys.tobytes(), shares.tobytes(), junk_votes(text, words)))
             lex, keys, shares, votes = (list(x) for x in zip(*out, strict=True)) if out else ([], [], [], [])
             yield pd.DataFrame({"_junk": batch["_junk"].astype("Int64"), "_toxic": batch["_toxic"].astype("Int64"), "lex": lex, "keys": keys, "shares": shares, "votes": votes})
