@@ -5,7 +5,9 @@ Everything is Spark's own expressions; no Python runs on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import table
@@ -32,23 +34,25 @@ def fold(events: DataFrame) -> DataFrame:
     message, only events since its last edit or regeneration are gathered.  A null text is empty;
     the role is that of the last event that has one.  Events with equal ``seq`` go by kind (resets
     first), then text; an event that repeats in all columns counts each time.  Events without a
-    turn form one message, ordered first; the same holds for conversations without an id.
+    turn form one message, ordered first; the same holds for conversations without an id.  If there is
+    a column ``part``, events of one turn with different parts are different messages.
 
     Events of one message meet in one task, never those of a whole conversation.  What an edit or
     regeneration replaces is dropped before texts are gathered."""
+    keys = ["conv_id", "turn", *[c for c in ("part",) if c in events.columns]]
     reset = F.coalesce(F.col("kind").isin("edit", "regenerate"), F.lit(False))
     rows = events.select(
         F.col("conv_id"),
         F.col("turn").cast("long").alias("turn"),
+        *keys[2:],
         F.struct(F.col("seq").cast("long").alias("seq"), (~reset).alias("later"), F.coalesce("text", F.lit("")).alias("text")).alias("_e"),
         F.col("role"),
         reset.alias("_reset"),
     )
-    keys = ["conv_id", "turn"]
     last = rows.where("_reset").groupBy(*keys).agg(F.max("_e").alias("_last"))
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    live = rows.alias("l").join(last.alias("r"), same[0] & same[1], "left")
-    live = live.select("l.conv_id", "l.turn", "_e", "role", ((F.col("_last").isNull()) | (F.col("_e") >= F.col("_last"))).alias("_live"))
+    live = rows.alias("l").join(last.alias("r"), reduce(Column.__and__, same), "left")
+    live = live.select(*[f"l.{k}" for k in keys], "_e", "role", ((F.col("_last").isNull()) | (F.col("_e") >= F.col("_last"))).alias("_live"))
     parts = F.array_sort(F.collect_list(F.when(F.col("_live"), F.col("_e"))))
     return live.groupBy(*keys).agg(
         F.max_by("role", F.when(F.col("role").isNotNull(), F.struct("_e", "role"))).alias("role"),
@@ -97,8 +101,11 @@ def parse(formatted: Column) -> Column:
 
 
 def events_of(conversations: DataFrame) -> DataFrame:
-    """Finished conversations as a log of one delta per row."""
-    return conversations.select("conv_id", F.col("turn").alias("seq"), "turn", "role", F.lit("delta").alias("kind"), "text")
+    """Finished conversations as a log of one delta per row.
+
+    Rows of one turn, or without one, are parts of it by role and text, so every row remains a message."""
+    part = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    return conversations.select("conv_id", F.col("turn").alias("seq"), "turn", part.alias("part"), "role", F.lit("delta").alias("kind"), "text")
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

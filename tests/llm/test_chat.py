@@ -69,6 +69,14 @@ def test_fold(spark):
     assert chat.render(chat.fold(events.limit(0))).count() == 0
 
 
+def test_rows_of_one_turn_all_stay(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "assistant", "a"), (1, 0, "user", "b"), (1, None, "user", "y"), (1, None, "user", "x"), (1, 3, "assistant", "c")]
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = chat.render(chat.fold(chat.events_of(given))).select(chat.parse(chat.F.col("formatted")).alias("t"), "loss").first()
+    assert [tuple(t) for t in done["t"]] == [("user", "x"), ("user", "y"), ("assistant", "a"), ("user", "b"), ("user", "b"), ("assistant", "c")]
+    assert len(done["loss"]) == 2
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = chat.op4_chat(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
