@@ -1,6 +1,11 @@
-"""Removal of long passages that occur more than once, by relative Lempel-Ziv parsing.
+"""Removal of long passages that occur more than once, by minimizer factors.
 
-A document is parsed into factors against all other text.  A window of ``WINDOW`` words belongs to
+They stand in for greedy relative Lempel-Ziv parsing: a greedy factor begins where the last match ended, so a
+document would have to meet an index of the whole reference from its first word on, one word after the other; factors whose bounds
+depend on their own words only are matched by equality, in one shuffle.  No longest match is sought, and none
+is needed for what is removed.
+
+A window of ``WINDOW`` words belongs to
 exactly one anchor, its least hashed run of ``GRAM`` words (leftmost if equal), so equal windows have equal
 anchors, wherever they stand.  The windows of one anchor cover one factor of at most
 2 * WINDOW - GRAM words.  Anchors deal the reference into blocks: all factors with one anchor form one.
