@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chat, jaccard, leaks, lines, mixing, nearest, pii, quality, substrings, tokens
+from siltstone.llm import chat, jaccard, leaks, lines, mixing, nearest, pii, quality, reputation, substrings, tokens
 from siltstone.llm.oracle import ORACLE as ORACLE
 from siltstone.session import tune
 
@@ -26,5 +26,6 @@ QUERIES = {
     "op8_nearest": nearest.op8_nearest,
     "op9_mix": mixing.op9_mix,
     "op10_substrings": substrings.op10_substrings,
+    "op13_urls": reputation.op13_urls,
 }
 QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
