@@ -54,4 +54,24 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FRO
 SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
     sha256(coalesce(t, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)""",
+    "op11_search": r"""
+WITH given AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS length FROM given WHERE len(w) > 0),
+held AS (SELECT r, doc_id, len(w) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, w, unnest(w) AS t FROM given) GROUP BY r, doc_id, len(w), t),
+wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+weights AS (
+    SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM held, sizes GROUP BY t, n_docs),
+scored AS (
+    SELECT item_id, r, doc_id,
+        CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // length)))) AS BIGINT) AS score
+    FROM wanted JOIN weights USING (t) JOIN held USING (t), sizes GROUP BY item_id, r, doc_id),
+places AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM places WHERE rank <= 50""",
 }
