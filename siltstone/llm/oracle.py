@@ -74,4 +74,27 @@ places AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
     FROM scored WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM places WHERE rank <= 50""",
+    "op12_phrases": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, range(1, 6) AS s(k) WHERE len(w) >= k)),
+often AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM often WHERE k > 1),
+scored AS (
+    SELECT c.lang, c.phrase, k, a, x.f AS l, y.f AS r, n, cut,
+        CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN totals USING (lang)
+    JOIN (SELECT lang, phrase, f FROM often) x ON x.lang = c.lang AND x.phrase = array_to_string(w[:cut], ' ')
+    JOIN (SELECT lang, phrase, f FROM often) y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored),
+kept AS (
+    SELECT * FROM lowest c WHERE place = 1 AND NOT EXISTS (
+        SELECT 1 FROM often o WHERE o.lang = c.lang AND o.k > c.k AND o.f >= c.a AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }

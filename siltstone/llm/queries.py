@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import chat, jaccard, leaks, lines, mixing, nearest, pii, quality, ranked, reputation, substrings, tokens
+from siltstone.llm import chat, jaccard, leaks, lines, mixing, nearest, phrases, pii, quality, ranked, reputation, substrings, tokens
 from siltstone.llm.oracle import ORACLE as ORACLE
 from siltstone.session import tune
 
@@ -27,6 +27,7 @@ QUERIES = {
     "op9_mix": mixing.op9_mix,
     "op10_substrings": substrings.op10_substrings,
     "op11_search": ranked.op11_search,
+    "op12_phrases": phrases.op12_phrases,
     "op13_urls": reputation.op13_urls,
 }
 QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}

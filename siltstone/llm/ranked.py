@@ -166,7 +166,7 @@ class _Best:
         return self.pool[0]
 
 
-def _ranked(docs: DataFrame, plan: Plan, top: int) -> DataFrame:
+def _ranked(docs: DataFrame, plan: Plan, top: int, cells: int) -> DataFrame:
     """``item, _id, score``: the best documents of every task."""
     n_docs, length, df = _statistics(docs, plan)
     weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(d) + 1))) for d in df], np.int64)
@@ -176,7 +176,7 @@ def _ranked(docs: DataFrame, plan: Plan, top: int) -> DataFrame:
         plan, weight = sent.value
         terms = len(plan.terms)
         most = max(int(np.diff(plan.starts).max(initial=0)), 2)
-        width = max(1, CELLS // (terms + 3 * len(plan.left) + len(plan.ids) + most))
+        width = max(1, cells // (terms + 3 * len(plan.left) + len(plan.ids) + most))
         best = _Best(len(plan.ids), top)
         for batch in batches:
             counted = _counted(batch["_text"], plan.terms)
@@ -212,7 +212,7 @@ def _parts(queries: DataFrame, item_col: str, text_col: str) -> Iterator[list[tu
 
 def search(
     docs: DataFrame, queries: DataFrame, top: int = TOP, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", cells: int = CELLS,
 ) -> DataFrame:
     """``item, rank, id, score``: the ``top`` documents of every query with a score above 0.
 
@@ -226,7 +226,7 @@ def search(
     own = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     found = None
     for part in _parts(queries, item_col, item_text_col):
-        ranked = _ranked(own, mine(part), top)
+        ranked = _ranked(own, mine(part), top, cells)
         found = ranked if found is None else found.unionByName(ranked)
     if found is None:
         found = docs.sparkSession.createDataFrame([], "item long, _id long, score long")

@@ -66,8 +66,7 @@ def test_parts_and_small_blocks_change_nothing(spark, monkeypatch):
     want = plain(rows, items, 50)
     assert found(search(docs.repartition(7), queries)) == want
     monkeypatch.setattr(ranked, "PART_CHARS", 500)
-    monkeypatch.setattr(ranked, "CELLS", 500)
-    assert found(search(docs.repartition(3), queries)) == want
+    assert found(search(docs.repartition(3), queries, cells=500)) == want
 
 
 def test_the_graph_shares_work():
