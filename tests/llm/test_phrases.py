@@ -29,14 +29,19 @@ def plain(rows, top, least):
     out = []
     for lang, count in f.items():
         chosen = {p: c for p, c in count.items() if c >= least and " " in p}
-        ranked = []
+        ranked, around = [], Counter()
+        for q, c in chosen.items():
+            w = q.split(" ")
+            for i in range(len(w)):
+                for j in range(i + 1, len(w) + 1):
+                    if j - i < len(w):
+                        around[" ".join(w[i:j])] = max(c, around[" ".join(w[i:j])])
         for p, a in chosen.items():
             w = p.split(" ")
             best = min(
                 (1000 * a * n[lang] // (count[" ".join(w[:k])] * count[" ".join(w[k:])]), k) for k in range(1, len(w))
             )
-            inside = any(f" {p} " in f" {q} " and c >= a for q, c in chosen.items() if len(q) > len(p))
-            if not inside:
+            if around[p] < a:
                 k = best[1]
                 ranked.append((-best[0], -a, p.encode(), count[" ".join(w[:k])], count[" ".join(w[k:])]))
         for rank, (score, a, p, left, right) in enumerate(sorted(ranked)[:top], 1):
