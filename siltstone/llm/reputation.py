@@ -208,7 +208,8 @@ def judge(
     host, path = located(F.col(url_col))
     pages = df.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("_path"))
     hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("_pages"))
-    ruled = pages.join(candidates(hosts, rules), "host", "left")
+    # Stored, so that the join reads plain rows on both sides and AQE can split a hot host.
+    ruled = pages.join(stored(candidates(hosts, rules), "rules"), "host", "left")
     first = F.filter("_rules", lambda r: F.startswith(F.col("_path"), r["path"]))
     ruled = ruled.withColumn("_first", F.get(first, F.lit(0))).select(
         "_id", "host", "_path", F.col("_first.rule").alias("_rule"), F.col("_first.verdict").alias("_verdict")
