@@ -1,11 +1,14 @@
 """Phrase collocation mining after Toivonen: a sample proposes, full passes count exactly.
 
-Part of the text proposes frequent phrases, with a threshold lowered so far that few are missed.  A full pass
+A sample of all occurrences proposes frequent phrases, with a threshold lowered so far that few are missed.  A full pass
 counts these and their negative border, the phrases whose first and last words but one are all proposed:
 every frequent phrase is either among them or longer than a frequent one of the border.  If the border
 turns out to hold frequent phrases, they are added and a further pass counts what that brings into reach, until
 nothing is new.  So the result is exact, whatever the sample was.
 
+Before all, pairs of words are counted in a fixed number of buckets by hash: a pair whose bucket stays below the
+threshold can't be frequent, and is neither proposed nor counted.  That, too, only saves work.
+
 Proposals travel to the tasks as a bit field of fixed size over hashes.  Different phrases that share a bit make
 tasks count a few more phrases; the counts themselves are kept by the phrase's text.
 """
@@ -15,10 +18,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,20 +42,13 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     """What decides how the work is done, but never the result."""
 
-    sample: int = 4  # one piece of so many proposes
+    sample: int = 4  # one occurrence of so many counts for the proposals
     sigmas: float = 3.5  # the sample's threshold lies so many standard deviations below its share of the least count
     bits: int = 26  # the bit field has 2**bits bits
-    chunk_bytes: int = 8_000_000  # text that is looked at together
-    entries: int = 2_000_000  # phrases that a task holds before it hands some over
-    words: int = 1_000_000  # words that a task numbers before it begins anew
-
-
-class _Numbers(dict):
-    """Words numbered in the order they come; 0 is the end of a piece."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
+    buckets: int = 22  # pairs of words are counted together in 2**buckets buckets first
+    chunk_bytes: int = 4_000_000  # text that is looked at together
+    entries: int = 1_000_000  # phrases that a task holds before it hands some over
+    words: int = 500_000  # words that a task numbers before it begins anew
 
 
 class _Language:
@@ -63,15 +59,34 @@ class _Language:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers, self.hashes = _Numbers({b".": 0}), np.zeros(1, np.uint64)
+        self.numbers, self.hashes = {b".": 0}, np.zeros(1, np.uint64)
 
     def read(self, text: bytes) -> np.ndarray:
-        """The text as word numbers."""
-        tokens = text.translate(_BYTES).replace(b".", b" . ").split()
-        out = np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens))
-        new = islice(self.numbers, len(self.hashes), None)
-        more = np.array([xxhash.xxh3_64_intdigest(w, self.seed) for w in new], np.uint64)
-        self.hashes = np.concatenate([self.hashes, more])
+        """The text as word numbers, with 0 at the end of each piece."""
+        marks = np.frombuffer(text.translate(_BYTES), np.uint8)
+        ends = marks == 46
+        inside = np.concatenate([[False], (marks != 32) & ~ends, [False]])
+        bounds = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, stops = bounds[::2], bounds[1::2]
+        # The words' bytes without what lies between them, as an Arrow array: numbered there, one by one.
+        offsets = np.concatenate([[0], np.cumsum(stops - starts)])
+        joined = marks[inside[1:-1]]
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(joined)]
+        ).dictionary_encode()
+        data, cuts = words.dictionary.buffers()[2].to_pybytes(), np.frombuffer(words.dictionary.buffers()[1], np.int64)
+        cuts = cuts[: len(words.dictionary) + 1].tolist()
+        known, new = [], []
+        for word in [data[a:b] for a, b in zip(cuts, cuts[1:])]:
+            number = self.numbers.get(word)
+            if number is None:
+                number = self.numbers[word] = len(self.numbers)
+                new.append(xxhash.xxh3_64_intdigest(word, self.seed))
+            known.append(number)
+        self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
+        before = np.concatenate([[0], np.cumsum(ends)])
+        out = np.zeros(len(starts) + before[-1], np.int32)
+        out[np.arange(len(starts)) + before[starts]] = np.array(known, np.int32)[words.indices.to_numpy()]
         return out
 
 
@@ -86,11 +101,11 @@ def _lengthened(shorter: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mixed(shorter * _MUL + last)
 
 
-def _phrases(numbers: np.ndarray, hashes: np.ndarray, wanted) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``size, hashes, starts`` of the phrases of every size that ``wanted`` chooses.
+def _phrases(numbers: np.ndarray, hashes: np.ndarray, wanted, heavy: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``size, hashes, starts`` of the phrases of every size: hashes of all places, and the places that ``wanted`` chooses.
 
     ``wanted(size, hashes one shorter, those chosen one shorter)`` marks which places of the shorter size may be
-    the begin or the end of a phrase; None lets all phrases pass."""
+    the begin or the end of a phrase; None lets all phrases pass.  Pairs must have their bit in ``heavy``."""
     words = hashes[numbers]
     current, whole = words, numbers > 0
     chosen = whole
@@ -102,8 +117,10 @@ def _phrases(numbers: np.ndarray, hashes: np.ndarray, wanted) -> Iterator[tuple[
             whole = whole[:-1] & (numbers[size - 1 :] > 0)
             chosen = whole if marks is None else whole & marks
             current = _lengthened(current[:-1], words[size - 1 :])
+            if size == 2 and heavy is not None:
+                chosen = chosen & _bits(heavy, current)
         at = np.flatnonzero(chosen)
-        yield size, current[at], at
+        yield size, current, at
 
 
 class _Counts:
@@ -113,21 +130,27 @@ class _Counts:
         self.held: dict[tuple[str, int], list] = {}
         self.size = 0
 
-    def add(self, lang: str, size: int, hashes: np.ndarray, words: np.ndarray) -> None:
+    def add(self, lang: str, size: int, hashes: np.ndarray, numbers: np.ndarray | None = None, at: np.ndarray | None = None) -> None:
         if len(hashes):
-            unique, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-            self.held.setdefault((lang, size), []).append((unique, counts, words[first]))
-            self.size += len(unique)
+            order = np.argsort(hashes, kind="stable")
+            ordered = hashes[order]
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            counts = np.diff(np.append(first, len(ordered)))
+            words = None if numbers is None else numbers[at[order[first]][:, None] + np.arange(size)]
+            self.held.setdefault((lang, size), []).append((ordered[first], counts, words))
+            self.size += len(first)
 
     def settle(self) -> None:
         """Adds up what came from several chunks."""
         self.size = 0
         for key, parts in self.held.items():
-            hashes, counts, words = (np.concatenate(c) for c in zip(*parts))
-            unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            total = np.bincount(inverse, counts, len(unique)).astype(np.int64)
-            self.held[key] = [(unique, total, words[first])]
-            self.size += len(unique)
+            hashes, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            order = np.argsort(hashes, kind="stable")
+            ordered = hashes[order]
+            first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            words = None if parts[0][2] is None else np.concatenate([p[2] for p in parts])[order[first]]
+            self.held[key] = [(ordered[first], np.add.reduceat(counts[order], first), words)]
+            self.size += len(first)
 
 
 def _chunks(batch: pd.DataFrame, most: int) -> Iterator[tuple[str, bytes]]:
@@ -143,20 +166,60 @@ def _chunks(batch: pd.DataFrame, most: int) -> Iterator[tuple[str, bytes]]:
         yield lang, b".".join(waiting)
 
 
-def _sampled(numbers: np.ndarray, text: bytes, one_in: int) -> np.ndarray:
-    """The words of one piece in ``one_in``, chosen by hash."""
-    ends = numbers == 0
-    piece = np.cumsum(ends).astype(np.uint64) + np.uint64(xxhash.xxh3_64_intdigest(text))
-    return numbers[ends | (mixed(piece) % np.uint64(one_in) == 0)]
+def _sampled(at: np.ndarray, text: bytes, one_in: int) -> np.ndarray:
+    """One place in ``one_in``, chosen by hash: each occurrence of a phrase for itself, however close together."""
+    key = mixed(at.astype(np.uint64) + np.uint64(xxhash.xxh3_64_intdigest(text)))
+    return at[key % np.uint64(one_in) == 0]
+
+
+PARTS = 1024
+
+
+def _heavy(docs: DataFrame, least: int, given: Settings) -> np.ndarray:
+    """A bit per bucket of pairs: whether all its pairs together occur ``least`` times.
+
+    Every task hands over one array in parts, which are added up as they come."""
+    size = 2**given.buckets
+    parts = min(PARTS, size // 8)
+    kind = np.dtype(np.uint8 if least <= 255 else np.uint32)  # counts beyond ``least`` say no more than ``least``
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, languages = np.zeros(size, np.int64), {}
+        for batch in batches:
+            for lang, text in _chunks(batch, given.chunk_bytes):
+                known = languages.setdefault(lang, _Language(lang))
+                for length, hashes, at in _phrases(known.read(text), known.hashes, lambda *_: None):
+                    if length == 2:
+                        counts += np.bincount((hashes[at] >> np.uint64(64 - given.buckets)).astype(np.int64), minlength=size)
+                        break
+                if len(known.numbers) > given.words:
+                    known.clear()
+        held = np.minimum(counts, least).astype(kind).reshape(parts, -1)
+        yield pd.DataFrame({"part": np.arange(parts), "counts": pd.Series([row.tobytes() for row in held], dtype=object)})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch["part"], batch["counts"]):
+                more = np.frombuffer(counts, kind).astype(np.int64)
+                total[part] = total[part] + more if part in total else more
+        bits = [np.packbits(c >= least, bitorder="little").tobytes() for c in total.values()]
+        yield pd.DataFrame({"part": pd.Series([*total], dtype="int64"), "bits": pd.Series(bits, dtype=object)})
+
+    rows = docs.mapInPandas(run, "part long, counts binary").repartition("part").mapInPandas(add, "part long, bits binary")
+    out = np.zeros((parts, size // 8 // parts), np.uint8)
+    for row in rows.collect():
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
 
 
-def _proposed(docs: DataFrame, field: np.ndarray | None, given: Settings) -> DataFrame:
+def _proposed(docs: DataFrame, field: np.ndarray | None, heavy: np.ndarray, given: Settings) -> DataFrame:
     """``h, n``: hashes and counts of phrases in the sample; of one or two words without ``field``, else of more
     whose pairs of words are all in ``field``."""
-    sent = docs.sparkSession.sparkContext.broadcast(field)
+    sent = docs.sparkSession.sparkContext.broadcast((field, heavy))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        field, counts, languages = sent.value, _Counts(), {}
+        (field, heavy), counts, languages = sent.value, _Counts(), {}
 
         def wanted(size: int, shorter: np.ndarray, chosen: np.ndarray) -> np.ndarray | None:
             if field is None or size < 3:
@@ -173,10 +236,9 @@ def _proposed(docs: DataFrame, field: np.ndarray | None, given: Settings) -> Dat
         for batch in batches:
             for lang, text in _chunks(batch, given.chunk_bytes):
                 known = languages.setdefault(lang, _Language(lang))
-                numbers = _sampled(known.read(text), text, given.sample)
-                for size, hashes, at in _phrases(numbers, known.hashes, wanted):
+                for size, hashes, at in _phrases(known.read(text), known.hashes, wanted, heavy):
                     if (size < 3) == (field is None):
-                        counts.add("", 0, hashes, at[:, None])
+                        counts.add("", 0, hashes[_sampled(at, text, given.sample)])
                     elif field is None:
                         break
                 if len(known.numbers) > given.words:
@@ -195,13 +257,13 @@ def _rows(lang: list[str], size: int, phrases: list[str], f: np.ndarray) -> pd.D
     return pd.DataFrame({"lang": pd.Series(lang, dtype=object), "size": size, "phrase": pd.Series(phrases, dtype=object), "f": f})
 
 
-def _counted(docs: DataFrame, field: np.ndarray, before: np.ndarray | None, given: Settings) -> DataFrame:
+def _counted(docs: DataFrame, field: np.ndarray, before: np.ndarray | None, heavy: np.ndarray, given: Settings) -> DataFrame:
     """``lang, size, phrase, f``: all words (unless counted ``before``) and the longer phrases that ``field`` brings
     into reach and ``before`` did not.  Size 0 holds the number of words of the language."""
-    sent = docs.sparkSession.sparkContext.broadcast((field, before))
+    sent = docs.sparkSession.sparkContext.broadcast((field, before, heavy))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (field, before), counts, languages, totals = sent.value, _Counts(), {}, {}
+        (field, before, heavy), counts, languages, totals = sent.value, _Counts(), {}, {}
 
         def wanted(size: int, shorter: np.ndarray, chosen: np.ndarray) -> np.ndarray:
             now = _bits(field, shorter)
@@ -226,9 +288,9 @@ def _counted(docs: DataFrame, field: np.ndarray, before: np.ndarray | None, give
                 numbers = known.read(text)
                 if before is None:
                     totals[lang] = totals.get(lang, 0) + int((numbers > 0).sum())
-                for size, hashes, at in _phrases(numbers, known.hashes, wanted):
+                for size, hashes, at in _phrases(numbers, known.hashes, wanted, heavy):
                     if size > 1 or before is None:
-                        counts.add(lang, size, hashes, numbers[at[:, None] + np.arange(size)])
+                        counts.add(lang, size, hashes[at], numbers, at)
                 if counts.size > given.entries or len(known.numbers) > given.words:
                     counts.settle()
                     if counts.size > given.entries // 2 or len(known.numbers) > given.words:
@@ -298,11 +360,12 @@ def frequent(docs: DataFrame, least: int = LEAST, given: Settings = Settings())
     size 0 holds the number of words.  ``docs`` has ``_lang`` and ``_text``, neither null."""
     share = least / given.sample
     lowered = max(2, math.floor(share - given.sigmas * math.sqrt(share)))
-    field = _field(_proposed(docs, None, given).where(F.col("n") >= lowered), given.bits)
-    field = _field(_proposed(docs, field, given).where(F.col("n") >= lowered), given.bits, field)
+    heavy = _heavy(docs, least, given)
+    field = _field(_proposed(docs, None, heavy, given).where(F.col("n") >= lowered), given.bits)
+    field = _field(_proposed(docs, field, heavy, given).where(F.col("n") >= lowered), given.bits, field)
     found, before = [], None
     while True:
-        new = stored(_counted(docs, field, before, given).where((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+        new = stored(_counted(docs, field, before, heavy, given).where((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
         found.append(new)
         border = stored(_hashed(new.where(F.col("size").between(1, LONGEST - 1))), "border")
         if not _outside(border, field):

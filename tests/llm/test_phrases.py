@@ -90,7 +90,7 @@ def test_a_sample_that_proposes_nothing(spark, monkeypatch):
     assert len(passes) == 5
 
 
-@pytest.mark.parametrize("given", [Settings(bits=10), Settings(words=10, chunk_bytes=300), Settings(sample=1), Settings(sample=50, entries=1)])
+@pytest.mark.parametrize("given", [Settings(bits=10), Settings(words=10, chunk_bytes=300), Settings(sample=1, buckets=3), Settings(sample=50, entries=1)])
 def test_settings_change_nothing(spark, given):
     rows = corpus(3, 100)
     df = spark.createDataFrame(rows, "lang string, text string")
