@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -34,6 +35,34 @@ def position(df: DataFrame, name: str) -> Column:
     return F.coalesce(value, F.lit(float("-inf")))
 
 
+def last_resort(df: DataFrame, known: Sequence[str]) -> list[Column]:
+    """What orders rows that are equal in ``known``: their other columns by name, so that the order depends on
+    the rows alone, never on how they arrived.  Rows equal in all of them can't be told apart."""
+
+    def ordered(field: T.StructField) -> Column:
+        plain = not re.search("map|variant", field.dataType.simpleString())
+        return F.col(field.name) if plain else F.to_json(F.struct(field.name))
+
+    return [ordered(f) for f in sorted(df.schema.fields, key=lambda f: f.name) if f.name not in known]
+
+
+def row_digest(df: DataFrame, names: Sequence[str]) -> Column:
+    """A fingerprint of the named columns.  NULLs leave no trace, so a column added later changes no digest."""
+
+    def text(field: T.StructField) -> Column:
+        col = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            return F.unix_micros(col).cast("string")
+        if isinstance(field.dataType, T.BinaryType):
+            return F.hex(col)
+        nested = isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
+        return F.to_json(F.struct(field.name)) if nested else col.cast("string")
+
+    fields = sorted((f for f in df.schema.fields if f.name in names), key=lambda f: f.name)
+    parts = [F.concat(F.lit(f"{f.name}:"), F.length(text(f)).cast("string"), F.lit(":"), text(f)) for f in fields]
+    return F.md5(F.concat_ws("|", *parts))
+
+
 def cut_points(df: DataFrame, columns: Sequence[str], pieces: int) -> list[list[float]]:
     """At most ``pieces - 1`` equal-share cut points per numeric column, in one pass.
 

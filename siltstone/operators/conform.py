@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.columns import require
+from siltstone.functions.order import last_resort
 from siltstone.schemas import INGESTED_AT, TableSpec
 
 
@@ -63,12 +64,17 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns(trimmed).dropna(subset=list(spec.keys))
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key by ``order`` (most significant first).
+def latest(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], ignored: Sequence[str] = (), last: Sequence[str] = ()
+) -> DataFrame:
+    """The last row of each key by ``order`` (most significant first); of equal ones the greatest by all its
+    other columns but the ``ignored`` ones, taken by name, so the choice never depends on arrival.  ``last`` names
+    columns that count after all others.
 
     ``row_number() = 1`` is planned with a group limit before the shuffle, so a map task
     sends at most one row per key, however many copies or versions a key has.
     """
     require(df, [*keys, *order], "latest")
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    ranked = [*map(F.col, order), *last_resort(df, [*keys, *order, *ignored, *last]), *map(F.col, last)]
+    newest = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in ranked])
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")

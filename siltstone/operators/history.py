@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import holds, null_safe_join, require
+from siltstone.functions.order import last_resort
 from siltstone.operators.conform import latest
 from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, heavy_keys, split_heavy
 from siltstone.session import saved
@@ -25,7 +26,7 @@ def _runs(
     All windows share one partitioning and one sort, so this is a single shuffle and a single
     sort.  ``_head`` marks the first run of a part; the last one has no end.
     """
-    by_tie = Window.partitionBy(*parts).orderBy(sequence, *ties)
+    by_tie = Window.partitionBy(*parts).orderBy(sequence, *ties, *last_resort(rows, [*parts, sequence, *ties]))
     along = Window.partitionBy(*parts).orderBy(sequence)
     value = F.struct(*state)
 
@@ -118,7 +119,8 @@ def scd2(
     """Type 2 history of a change feed: one row per key version, valid in [start, end).
 
     The order of arrival plays no part, only ``sequence``; ``ties`` decides between rows equal
-    in key and sequence.  A row matching ``deletes`` closes the version before it and opens
+    in key and sequence, and between rows equal in these too their own values do, column by column in the order
+    of their names.  A row matching ``deletes`` closes the version before it and opens
     none; with ``keep_deletes`` it stays as a row flagged ``__DELETED``.  With ``tracked`` only
     those columns open a version and the others are updated in place; naming ``sequence`` there
     makes every new sequence value a version.
@@ -142,13 +144,13 @@ def scd2(
     visible = F.lit(True) if keep_deletes else ~F.col(DELETED)
     history = history.where(visible).select(*wanted)
     if heavy is not None:
-        heavy = _without_copies(heavy, [*keys, sequence], [*ties] or [sequence], split_floor)
+        heavy = _without_copies(heavy, [*keys, sequence], ties, split_floor)
         runs = saved(_runs(heavy, [*keys, SEGMENT], *args))
         history = history.unionByName(_joined(runs, keys, state, carried).where(visible).select(*wanted))
     return history
 
 
-def _without_copies(rows: DataFrame, change: list[str], ties: list[str], floor: int) -> DataFrame:
+def _without_copies(rows: DataFrame, change: list[str], ties: Sequence[str], floor: int) -> DataFrame:
     """``rows`` where a change repeated very many times has collapsed on the map side, since no
     cut of the sequence can spread it.  Other repeats are left to the windows."""
     repeated, _ = heavy_keys(rows, change, floor)
@@ -170,7 +172,7 @@ def scd1(
     """Type 1 table: the newest row of each key; keys whose newest row is a delete are absent,
     or kept as ``__DELETED`` rows with ``keep_deletes``."""
     flagged = df.withColumn(DELETED, holds(deletes) if deletes is not None else F.lit(False))
-    newest = latest(flagged, keys, [sequence, *ties]).drop(*except_columns)
+    newest = latest(flagged, keys, [sequence, *ties], except_columns).drop(*except_columns)
     return newest if keep_deletes else newest.where(~F.col(DELETED)).drop(DELETED)
 
 

@@ -30,9 +30,7 @@ LEDGER = T.StructType(
         T.StructField("lower_bound", T.StringType()),
         T.StructField("gap", T.BooleanType()),
         T.StructField("null_cdc_rows", T.LongType()),
-        T.StructField("cleared", T.ArrayType(T.StringType())),  # folders whose older rows no longer count
-        T.StructField("folders", T.ArrayType(T.StringType())),  # folders this load wrote, if listed
-        T.StructField("counts", T.MapType(T.StringType(), T.LongType())),  # failed rules, lost values
+        T.StructField("counts", T.MapType(T.StringType(), T.LongType())),  # failed rules, lost values, buckets
         T.StructField("schema", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
@@ -92,23 +90,14 @@ class LoadStore:
 
     def put(
         self, df: DataFrame, table: str, load_id: str | None = None, strategy: str = "incremental",
-        partition_by: Sequence[str] = (), cleared: Sequence[str] | None = None, counts: Observation | None = None,
+        partition_by: Sequence[str] = (), counts: Observation | None = None,
     ) -> dict:
-        """Write and commit in one step.
-
-        With ``cleared`` the load also replaces: rows that older loads hold in those folders
-        (such as ``"bucket=3"``) no longer count.  The folders it writes are then listed.
-        ``counts`` is an observation inside ``df``; its numbers go to the ledger.
-        """
+        """Write and commit in one step.  ``counts`` is an observation inside ``df``; its numbers go to the ledger."""
         load_id = load_id or instant()
-        metrics = None
-        if cleared is not None:
-            named = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_by]
-            metrics = {"folders": F.collect_set(F.concat_ws("/", *named))}  # one entry per folder
-        facts = self.write(df, table, load_id, metrics, partition_by)
+        facts = self.write(df, table, load_id, partition_by=partition_by)
         if counts is not None:
             facts["counts"] = counts.get
-        return self.commit(table, load_id, strategy, cleared=None if cleared is None else list(cleared), **facts)
+        return self.commit(table, load_id, strategy, **facts)
 
     # -- reading ---------------------------------------------------------------------------
 
@@ -132,12 +121,14 @@ class LoadStore:
 
     def visible(self, table: str, upto: str | None = None) -> list:
         """Ledger rows (control data, one per load) that make up the table: the newest full load
-        and everything after it.  ``upto`` gives the table as it was after that load."""
-        rows = sorted(self.ledger(table).collect(), key=lambda r: (r.committed_at, r.load_id))
+        and everything after it; older rows stay in the ledger.  ``upto`` gives the table as it was after that load."""
+        place = F.struct("committed_at", "load_id")
+        rows = self.ledger(table)
         if upto is not None:
-            rows = rows[: 1 + next(i for i, r in enumerate(rows) if r.load_id == upto)]
-        fulls = [i for i, r in enumerate(rows) if r.strategy == "full"]
-        return rows[fulls[-1]:] if fulls else rows
+            rows = rows.where(place <= rows.where(F.col("load_id") == upto).agg(F.max(place)).scalar())
+        newest = rows.where("strategy = 'full'").agg(F.max(place)).scalar()
+        rows = rows.where(newest.isNull() | (place >= newest))
+        return sorted(rows.collect(), key=lambda r: (r.committed_at, r.load_id))
 
     def load(self, table: str, load_id: str) -> list:
         """The ledger row of one load, or nothing."""
@@ -157,7 +148,7 @@ class LoadStore:
         schema = None
         for load in loads:
             schema = evolve(schema, T.StructType.fromJson(json.loads(load.schema)))
-        paths = _folders(loads, self.data(table))
+        paths = [self.data(table, load.load_id) for load in loads if load.rows]
         if not paths:
             return control_rows(self.spark, [], schema)
         df = self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths)
@@ -194,7 +185,7 @@ class LoadStore:
     def vacuum(self, table: str, older_than_hours: float = 24.0) -> list[str]:
         """Deletes load folders no reader of the committed table opens: failed and empty loads and
         replaced versions.  Younger folders stay, as a job may still use them."""
-        used = {p.split("/load_id=")[1].split("/")[0] for p in _folders(self.visible(table), self.data(table))}
+        used = {load.load_id for load in self.visible(table) if load.rows}
         base, files = self._files(self.data(table))
         limit = (datetime.now(timezone.utc).timestamp() - older_than_hours * 3600) * 1000
         dropped = []
@@ -217,17 +208,3 @@ def observed(df: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Obs
 
 def _dtypes(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
-
-
-def _folders(loads: Sequence, base: str) -> list[str]:
-    """Folders to read: whole loads, or of loads that list their folders those still counting."""
-    found = {}
-    for load in loads:
-        whole = f"{base}/load_id={load.load_id}"
-        for part in load.cleared or []:
-            found[part] = []
-        if load.folders is None:
-            found[whole] = [whole]
-        for part in load.folders or []:
-            found.setdefault(part, []).append(f"{whole}/{part}")
-    return [path for paths in found.values() for path in paths]

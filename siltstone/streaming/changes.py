@@ -1,11 +1,18 @@
-"""Applying a change stream to stored history, without row-level merge.
-
-The history of a key is its open version plus versions already closed.  Changes that come after
-everything seen of their key need only the open version: the batch appends the versions it
-closes and rewrites the open ones of the buckets it touches.  A change that comes late may alter
-closed versions, so the bucket of its key is rebuilt from the change log, with the operator a
-batch job would use.  Any split and any order of arrival give the history of all changes
-together.  A batch becomes visible by one ledger row, so readers never see half of it.
+"""Applying a change stream to stored history, key by key, without row-level merge.
+
+A batch writes rows of the keys it changes and of no others.  First, changes that are stored already are
+dropped: a change later than all seen of its key is new, and only the rest is looked up in the change log, by key,
+sequence and row digest.  Of what is left,
+
+* keys whose changes all come after those seen need their open version only: it enters as a change at its start, and
+  the versions that result are appended;
+* keys with a late change are rebuilt from their rows of the change log, with the operator a batch job would use;
+  versions that vanish are appended once more, marked as lost.
+
+Readers take the newest row per open key and per closed version.  Only what came after the base (the first or
+last folded load) takes part in that choice; rows of the base are left out by an anti-join.  Any split and any order of
+arrival give the history of all changes together.  A batch becomes visible by one ledger row, so readers never see
+half of it.
 """
 
 from __future__ import annotations
@@ -18,23 +25,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.columns import holds, null_safe_join
+from siltstone.functions.order import row_digest
 from siltstone.operators.cluster import by_folder
 from siltstone.operators.conform import latest
-from siltstone.operators.history import DELETED, END, START, scd1, scd2
+from siltstone.operators.history import DELETED, END, START, scd2
 from siltstone.operators.skew import SPLIT_FLOOR
+from siltstone.session import saved
 from siltstone.sources.store import LoadStore
 from siltstone.streaming.files import start_batches
 
 BUCKET, OPEN, SEEN, GONE = "_bucket", "_open", "_seen", "_gone"
+BATCH, LOST, KNOWN = "_batch", "_lost", "_known"
 
 
 @dataclass(frozen=True)
 class ChangeTarget:
     """A history (``scd_type`` 2) or latest-value (1) table named ``name`` in ``store``.
 
-    Keys are spread over ``buckets``, which must not change during the life of the table.  A
-    batch rewrites the open versions of the buckets it touches, so choose enough buckets that
-    one bucket's open versions are a few GB at most.
+    Keys are spread over ``buckets`` folders, so that a batch reads those of its keys only.  The number is
+    kept in the ledger and must not change during the life of the table.
     """
 
     store: LoadStore
@@ -54,62 +63,127 @@ class ChangeTarget:
     def log(self) -> str:
         return f"{self.name}_changes"
 
+    @property
+    def _key(self) -> list[str]:
+        return [*self.keys, BUCKET]
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     # -- applying --------------------------------------------------------------------------
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
-        """Applies one batch.  Running the same batch again changes nothing."""
+        """Applies one batch.  Running the same batch again changes nothing.
+
+        ``changes`` is read several times, so it should come from stored rows."""
         load_id = f"b{batch_id:09d}"
+        loads = self._loads()
         if self.store.committed(self.name, load_id):
             return
-        if not self.store.committed(self.log, load_id):
-            rows = by_folder(changes.withColumn(BUCKET, self._bucket()), [BUCKET])
-            # A latest-value table never looks back, so only its newest batch stays visible.
-            strategy = "incremental" if self.scd_type == 2 else "full"
-            self.store.put(rows, self.log, load_id, strategy, partition_by=[BUCKET])
-        batch = self.store.read(self.log, self.store.load(self.log, load_id))
-        touched = _numbers(batch)
-        if not touched:
-            return
+        rows = changes.withColumn(BUCKET, self._bucket())
         if self.scd_type == 1:
-            self._apply_latest(batch, touched, load_id)
+            out, late = self._newest(rows, loads, batch_id), 0
+            folders = [BUCKET]
         else:
-            self._apply_history(batch, touched, load_id)
-        if max(len(self.store.visible(t)) for t in (self.log, self.name)) > self.fold_after:
+            if not self.store.committed(self.log, load_id):
+                self.store.put(by_folder(self._fresh(rows, loads), [BUCKET]), self.log, load_id, partition_by=[BUCKET])
+            batch = self.store.read(self.log, self.store.load(self.log, load_id))
+            out, late = self._changed(batch, loads, batch_id)
+            folders = [OPEN, BUCKET]
+        if out is not None:
+            facts = self.store.write(by_folder(out, folders), self.name, load_id, partition_by=folders)
+            if facts["rows"]:
+                self._commit(load_id, "incremental", late, facts)
+        if len(loads) >= self.fold_after:
             self.fold()
 
-    def _apply_latest(self, batch: DataFrame, touched: list[int], load_id: str) -> None:
-        rows = batch.withColumn(GONE, self._gone())
-        if self._exists():
-            known = self.store.read(self.name, where=_among(touched)).withColumnRenamed(DELETED, GONE)
-            rows = rows.unionByName(known, allowMissingColumns=True)
-        # Sequence and tie-breakers stay stored: later batches are compared with them.
-        unused = [GONE, *(c for c in self.except_columns if c not in (self.sequence, *self.ties))]
-        out = scd1(
-            rows, [*self.keys, BUCKET], self.sequence, self.ties, deletes=F.col(GONE), except_columns=unused, keep_deletes=True
-        )
-        folders = [f"{BUCKET}={b}" for b in touched]
-        self.store.put(by_folder(out, [BUCKET]), self.name, load_id, partition_by=[BUCKET], cleared=folders)
-
-    def _apply_history(self, batch: DataFrame, touched: list[int], load_id: str) -> None:
-        late, ready, rows = [], touched, self._events(batch)
-        if self._exists():
-            known = self.store.read(self.name, where=f"{OPEN} AND {_among(touched)}")
-            late = self._late(batch, known)
-            ready = [b for b in touched if b not in late]
-            # The open version enters as a change at its start.
-            rows = rows.unionByName(known.withColumnRenamed(DELETED, GONE).drop(START, END, OPEN), allowMissingColumns=True)
-        out = None
-        if ready:
-            out = self._versions(rows.where(_among(ready)) if late else rows)
+    def _commit(self, load_id: str, strategy: str, late: int, facts: dict) -> None:
+        self.store.commit(self.name, load_id, strategy, counts={"buckets": self.buckets, "late_keys": late}, **facts)
+
+    def _loads(self) -> list:
+        """The ledger rows of the table, read once per batch."""
+        loads = self.store.visible(self.name)
+        stored = {load.counts["buckets"] for load in loads if load.counts and "buckets" in load.counts}
+        if stored - {self.buckets}:
+            raise ValueError(f"{self.name} is stored in {stored.pop()} buckets, not {self.buckets}")
+        return loads
+
+    def _compared(self, rows: DataFrame) -> list[str]:
+        """The columns that make a change what it is."""
+        left_out = {*self.except_columns, BUCKET, BATCH, SEEN, KNOWN} - {*self.keys, self.sequence, *self.ties}
+        return [c for c in rows.columns if c not in left_out]
+
+    def _fresh(self, rows: DataFrame, loads: list) -> DataFrame:
+        """``rows`` without changes the log already has."""
+        touched = _numbers(rows)
+        if not loads or not touched:
+            return rows
+        seen = self._known_keys(loads, touched)
+        both = null_safe_join(rows, seen, self._key, "left")
+        not_after = F.col(self.sequence).isNull() | (F.col(self.sequence) <= F.col(SEEN))
+        both = both.withColumn(KNOWN, F.col(KNOWN).isNotNull() & F.coalesce(not_after, F.lit(False))).drop(SEEN)
+        doubtful = _numbers(both.where(KNOWN))
+        if not doubtful:
+            return rows
+        digest = row_digest(both.withColumn(GONE, self._gone()), [*self._compared(rows), GONE])
+        both = both.withColumn(GONE, self._gone()).withColumn("_digest", digest).drop(GONE)
+        log = self.store.read(self.log, where=_among(doubtful))
+        stored = log.withColumn(GONE, self._gone())
+        stored = stored.select(*self._key, self.sequence, row_digest(stored, [*self._compared(log), GONE]).alias("_digest"))
+        # The log is only looked up in: what meets a doubtful change is about as much as there are of these.
+        same = [*self._key, self.sequence, "_digest"]
+        asked = both.where(KNOWN).select(*same).distinct()
+        met = null_safe_join(stored, asked, same, "left_semi").distinct()
+        late = null_safe_join(both.where(KNOWN), met, same, "left_anti")
+        return both.where(~F.col(KNOWN)).unionByName(late).drop("_digest", KNOWN)
+
+    def _known_keys(self, loads: list, touched: list[int]) -> DataFrame:
+        """Key and last sequence value seen, of every stored key in the buckets."""
+        opened = self.store.read(self.name, loads, where=f"{OPEN} AND {_among(touched)}")
+        return opened.groupBy(*self._key).agg(F.max(SEEN).alias(SEEN)).withColumn(KNOWN, F.lit(True))
+
+    def _newest(self, rows: DataFrame, loads: list, batch_id: int) -> DataFrame:
+        """Type 1: the keys whose newest row is one of the batch."""
+        marked = rows.withColumns({DELETED: self._gone(), BATCH: F.lit(batch_id).cast("bigint"), KNOWN: F.lit(False)})
+        touched = _numbers(rows)
+        if loads and touched:
+            known = self._current(loads, _among(touched))
+            known = null_safe_join(known, rows.select(*self._key).distinct(), self._key, "left_semi")
+            marked = marked.unionByName(known.withColumn(KNOWN, F.lit(True)), allowMissingColumns=True)
+        # Sequence and tie-breakers stay stored: later batches are compared with them.  Of equal rows the stored one wins.
+        unused = [c for c in self.except_columns if c not in (self.sequence, *self.ties)]
+        ties = [self.sequence, *self.ties]
+        kept = latest(marked.drop(*[c for c in unused if c not in self.keys]), self._key, ties, ignored=[BATCH], last=[KNOWN])
+        return kept.where(~F.col(KNOWN)).drop(KNOWN)
+
+    def _changed(self, batch: DataFrame, loads: list, batch_id: int) -> tuple[DataFrame | None, int]:
+        """Rows to append for a batch of new changes, and the number of keys that had to be rebuilt."""
+        touched = _numbers(batch)
+        if not touched:
+            return None, 0
+        events, late = self._events(batch), 0
+        stamp = {BATCH: F.lit(batch_id).cast("bigint"), LOST: F.lit(False)}
+        if not loads:
+            return self._versions(events).withColumns(stamp), 0
+        opened = self._opened(loads, f"{OPEN} AND {_among(touched)}")
+        asked = batch.groupBy(*self._key).agg(F.min(self.sequence).alias("_first"), F.max(F.col(self.sequence).isNull()).alias("_unordered"))
+        opened = saved(null_safe_join(opened, asked, self._key, "inner"))
+        behind = (F.col("_first") <= F.col(SEEN)) | F.col("_unordered")
+        rebuilt_keys = opened.where(behind).select(*self._key)
+        late = rebuilt_keys.count()
+        openers = opened.where(F.coalesce(~behind, F.lit(True))) if late else opened
+        openers = openers.withColumnRenamed(DELETED, GONE).drop(START, END, OPEN, BATCH, LOST, "_first", "_unordered")
+        ready = null_safe_join(events, rebuilt_keys, self._key, "left_anti") if late else events
+        out = self._versions(ready.unionByName(openers, allowMissingColumns=True)).withColumns(stamp)
         if late:
-            rebuilt = self._versions(self._events(self.store.read(self.log, where=_among(late))))
-            out = out.unionByName(rebuilt) if out is not None else rebuilt
-        cleared = [f"{OPEN}=true/{BUCKET}={b}" for b in touched] + [f"{OPEN}=false/{BUCKET}={b}" for b in late]
-        folders = [OPEN, BUCKET]
-        self.store.put(by_folder(out, folders), self.name, load_id, partition_by=folders, cleared=cleared)
+            where = _among(_numbers(rebuilt_keys))
+            log = null_safe_join(self.store.read(self.log, where=where), rebuilt_keys, self._key, "left_semi")
+            rebuilt = saved(self._versions(self._events(log)).withColumns(stamp))
+            before = null_safe_join(self._closed(loads, f"NOT {OPEN} AND {where}"), rebuilt_keys, self._key, "left_semi")
+            again = rebuilt.where(~F.col(OPEN)).select(*self._key, START)
+            lost = null_safe_join(before, again, [*self._key, START], "left_anti").withColumns({**stamp, LOST: F.lit(True)})
+            out = out.unionByName(rebuilt).unionByName(lost, allowMissingColumns=True)
+        return out, late
 
     def _gone(self) -> Column:
         return holds(self.deletes) if self.deletes else F.lit(False)
@@ -123,50 +197,67 @@ class ChangeTarget:
         hidden = {*self.keys, self.sequence, *self.except_columns, BUCKET, SEEN, GONE}
         tracked = self.tracked if self.tracked is not None else [c for c in events.columns if c not in hidden]
         out = scd2(
-            events, [*self.keys, BUCKET], self.sequence, self.ties, deletes=F.col(GONE),
+            events, self._key, self.sequence, self.ties, deletes=F.col(GONE),
             except_columns=[GONE, *self.except_columns], tracked=tracked, keep_deletes=True, split_floor=self.split_floor,
         )
-        # A delete that is over has closed its version and has no more to say.
-        return out.where(F.col(END).isNull() | ~F.col(DELETED)).withColumn(OPEN, F.col(END).isNull())
-
-    def _late(self, batch: DataFrame, known: DataFrame) -> list[int]:
-        """Buckets with a change at or before the last one seen of its key."""
-        key = [*self.keys, BUCKET]
-        seq = F.col(self.sequence)
-        first = batch.groupBy(*key).agg(F.min(seq).alias("_first"), F.max(seq.isNull()).alias("_unordered"))
-        both = null_safe_join(first, known.select(*key, SEEN), key, "inner")
-        return _numbers(both.where((F.col("_first") <= F.col(SEEN)) | F.col("_unordered")))
+        return out.withColumn(OPEN, F.col(END).isNull())
 
     # -- upkeep and reading ----------------------------------------------------------------
 
+    def _over(self, base: list, later: list, where: str | None, same: list[str]) -> DataFrame:
+        """Rows of the ``base`` loads but for those that ``later`` loads replace, and the newest of the later ones.
+        The base is not shuffled when the later loads are small."""
+        if not later:
+            return self.store.read(self.name, base, where)
+        newest = latest(self.store.read(self.name, later, where), same, [BATCH])
+        if not base:
+            return newest
+        rest = null_safe_join(self.store.read(self.name, base, where), newest.select(*same), same, "left_anti")
+        return rest.unionByName(newest, allowMissingColumns=True)
+
+    def _opened(self, loads: list, where: str) -> DataFrame:
+        return self._over(loads[:1], loads[1:], where, self._key)
+
+    def _closed(self, loads: list, where: str) -> DataFrame:
+        """Closed versions.  None is written twice before the first load with a late change."""
+        first = next((i for i, load in enumerate(loads) if (load.counts or {}).get("late_keys")), len(loads))
+        return self._over(loads[:first], loads[first:], where, [*self._key, START]).where(~F.col(LOST))
+
+    def _current(self, loads: list, where: str | None = None) -> DataFrame:
+        return self._over(loads[:1], loads[1:], where, self._key)
+
+    def _rows(self, loads: list) -> DataFrame:
+        """The table with its bookkeeping columns."""
+        if self.scd_type == 1:
+            return self._current(loads)
+        return self._opened(loads, OPEN).unionByName(self._closed(loads, f"NOT {OPEN}"), allowMissingColumns=True)
+
     def fold(self) -> None:
         """Rewrites the many small loads of the log and of the table as one load each.
 
-        Runs by itself after ``fold_after`` loads.  Of the log one row per key and sequence value
-        stays; a history rebuilt from it is the same."""
-        for table, folders in ((self.log, [BUCKET]), (self.name, [OPEN, BUCKET] if self.scd_type == 2 else [BUCKET])):
-            loads = self.store.visible(table)
-            if len(loads) < 2:
-                continue
-            rows = self.store.read(table, loads)
-            if table == self.log:
-                rows = latest(rows, [*self.keys, BUCKET, self.sequence], [*self.ties] or [self.sequence])
+        Runs by itself after ``fold_after`` loads."""
+        loads = self._loads()
+        if len(loads) > 1:
+            folders = [OPEN, BUCKET] if self.scd_type == 2 else [BUCKET]
             folded = f"{loads[-1].load_id}_folded"
-            self.store.put(by_folder(rows, folders), table, folded, "full", partition_by=folders, cleared=[])
-
-    def _exists(self) -> bool:
-        return bool(self.store.visible(self.name))
+            facts = self.store.write(by_folder(self._rows(loads), folders), self.name, folded, partition_by=folders)
+            self._commit(folded, "full", 0, facts)
+        logs = self.store.visible(self.log)
+        if len(logs) > 1:
+            rows = by_folder(self.store.read(self.log, logs), [BUCKET])
+            self.store.put(rows, self.log, f"{logs[-1].load_id}_folded", "full", partition_by=[BUCKET])
 
     def table(self) -> DataFrame:
         """The table as readers see it: deletes hidden, bookkeeping columns gone."""
-        return self._shown(self.store.read(self.name))
+        return self._shown(self._rows(self._loads()))
 
     def current(self) -> DataFrame:
         """The open version of every key.  Folders of closed versions are not opened."""
-        return self._shown(self.store.read(self.name, where=OPEN if self.scd_type == 2 else None))
+        loads = self._loads()
+        return self._shown(self._opened(loads, OPEN) if self.scd_type == 2 else self._current(loads))
 
     def _shown(self, rows: DataFrame) -> DataFrame:
-        return rows.where(~F.col(DELETED)).drop(DELETED, BUCKET, OPEN, SEEN, *self.except_columns)
+        return rows.where(~F.col(DELETED)).drop(DELETED, BUCKET, OPEN, SEEN, BATCH, LOST, *self.except_columns)
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Runs the available part of ``stream`` through ``apply``."""

@@ -233,7 +233,7 @@ def extract_incremental(spark: SparkSession, sf: str) -> DataFrame:
 def _ingest_orders(spark: SparkSession, sf: str, load: LoadSpec) -> LoadStore:
     """One load of orders after an earlier one that left a watermark."""
     store = _bronze(spark)
-    store.commit("orders", "earlier", "incremental", rows=0, cdc=WATERMARK, folders=[], schema=views.table(spark, sf, "orders").schema.json())
+    store.commit("orders", "earlier", "incremental", rows=0, cdc=WATERMARK, schema=views.table(spark, sf, "orders").schema.json())
     ingest(spark, ParquetSource(sf), load, store)
     return store
 
