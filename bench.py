@@ -37,6 +37,9 @@ HEADLINE = [
     "stream_append_orders",
     "stream_loads_orders",
     "stream_scd2_events",
+    "stream_scd2_batches",
+    "stream_scd1_batches",
+    "history_change_feed",
     "payment_rollup",
     "sample_by_date",
 ]

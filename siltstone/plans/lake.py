@@ -31,7 +31,7 @@ class Lake:
         )
         self.targets = {
             s.name: ChangeTarget(
-                self.tracked, s.name, s.keys, s.sequence, deletes=s.deletes, tracked=s.tracked,
+                self.tracked, s.name, s.keys, s.sequence, s.ties, deletes=s.deletes, tracked=s.tracked,
                 except_columns=(INGESTED_AT,), scd_type=(scd_types or {}).get(s.name, 2), buckets=buckets,
             )
             for s in self.specs.values()

@@ -18,6 +18,7 @@ class TableSpec:
 
     ``columns`` maps a name to its silver type; ``None`` passes the source type through.
     ``tracked`` lists the columns whose change opens a new version (all when None).
+    ``ties`` orders changes of a key that are equal in ``sequence``; their own values decide after that.
     ``rules`` are named SQL predicates a row must satisfy.
     """
 
@@ -27,6 +28,7 @@ class TableSpec:
     sequence: str | None = None
     strategy: str = "incremental"
     tracked: tuple[str, ...] | None = None
+    ties: tuple[str, ...] = ()
     deletes: str | None = None
     upper: tuple[str, ...] = ()
     rules: dict[str, str] = field(default_factory=dict)

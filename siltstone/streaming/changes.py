@@ -28,6 +28,7 @@ from siltstone.functions.columns import holds, null_safe_join
 from siltstone.functions.order import row_digest
 from siltstone.operators.cluster import by_folder
 from siltstone.operators.conform import latest
+from siltstone.operators.feed import history_feed
 from siltstone.operators.history import DELETED, END, START, scd2
 from siltstone.operators.skew import SPLIT_FLOOR
 from siltstone.session import saved
@@ -256,6 +257,13 @@ class ChangeTarget:
         loads = self._loads()
         return self._shown(self._opened(loads, OPEN) if self.scd_type == 2 else self._current(loads))
 
+    def changes(self, since=None, until=None) -> DataFrame:
+        """The changes of the history between two values of the sequence, as ``history_feed`` gives them; of a type 1 table
+        the log of versions is not kept, so it has none."""
+        if self.scd_type != 2:
+            raise ValueError(f"{self.name} keeps no history")
+        return history_feed(self.table(), self.keys, since, until)
+
     def _shown(self, rows: DataFrame) -> DataFrame:
         return rows.where(~F.col(DELETED)).drop(DELETED, BUCKET, OPEN, SEEN, BATCH, LOST, *self.except_columns)
 

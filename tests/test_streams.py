@@ -300,3 +300,21 @@ def test_stream_over_files_in_several_batches(spark, tmp_path):
     finish(t.start(stream, str(tmp_path / "c")))
     whole = scd2(spark.read.parquet(src), ["k"], "seq", ["id"], deletes="op = 'D'", except_columns=["id", "op"])
     assert t.store.ledger("t").count() == 3 and same(t.table(), whole)
+
+
+def test_the_feed_of_a_history(spark, tmp_path):
+    """A repeat changes nothing, a delete is one, and no bookkeeping column is shown."""
+    hour = lambda h: T0 + timedelta(hours=h)
+    t = target(spark, tmp_path)
+    first = [("x", hour(1), 1, "p", "u", "I"), ("x", hour(3), 2, "q", "u", "I"), ("y", hour(2), 3, "p", "u", "I")]
+    t.apply(spark.createDataFrame(first, FEED), 0)
+    t.apply(spark.createDataFrame([first[1], ("x", hour(5), 4, "q", "u", "I"), ("y", hour(4), 5, "p", "u", "D"), ("z", hour(6), 6, None, None, "I")], FEED), 1)
+    feed = t.changes()
+    assert feed.columns == ["k", "seq", "a", "b", "_changed_at", "_change_type"]
+    got = sorted((r["k"], r["_changed_at"], r["_change_type"], r["a"]) for r in feed.collect())
+    assert got == [
+        ("x", hour(1), "insert", "p"), ("x", hour(3), "update_postimage", "q"), ("x", hour(3), "update_preimage", "p"),
+        ("y", hour(2), "insert", "p"), ("y", hour(4), "delete", "p"), ("z", hour(6), "insert", None),
+    ]
+    part = t.changes(since=str(hour(2)), until=str(hour(4)))
+    assert sorted((r["k"], r["_change_type"]) for r in part.collect()) == [("x", "update_postimage"), ("x", "update_preimage"), ("y", "delete")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import BACKDATE, EARLIER, EVENT_INSTANT, LATER, WATERMARK
+from workload.queries import BACKDATE, EARLIER, EVENT_INSTANT, FEED_SINCE, LATER, WATERMARK
 from workload.views import with_views
 
 # The average of a decimal(10,2) is a decimal(14,6), rounded half up: exact in whole numbers.
@@ -110,6 +110,13 @@ _ORDERS_SCD2 = with_views(
 )
 
 
+_ORDERS_SCD1 = """
+        SELECT * EXCLUDE (newest) FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest
+            FROM orders) r
+        WHERE newest = 1 AND o_orderstatus <> 'P'"""
+
+
 def _valid_at(instant: str) -> str:
     return (
         "SELECT customer_id, order_status, payment_type FROM versions "
@@ -196,6 +203,25 @@ ORACLE: dict[str, str] = {
     "scd2_events": _events(),
     "scd2_orders": _ORDERS_SCD2,
     "scd2_tracked": _events(_EVENT_COLUMNS + ", value"),
+    "scd2_ties": with_views(
+        """
+        SELECT user_id, first_day AS day, event_type, value, first_day AS "__START_AT", next_day AS "__END_AT"
+        FROM versions WHERE event_type <> 'error'""",
+        ranked="""
+        SELECT user_id, CAST(ts AS DATE) AS day, event_type, value, ROW_NUMBER() OVER (
+            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY (event_type = 'error') DESC, event_type DESC, value DESC) AS copy
+        FROM events""",
+        steps="""
+        SELECT *, LAG(event_type) OVER w AS was, ROW_NUMBER() OVER w AS n
+        FROM ranked WHERE copy = 1 WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
+        runs="""
+        SELECT *, SUM(CASE WHEN n = 1 OR event_type <> was THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY day) AS run
+        FROM steps""",
+        versions="""
+        SELECT user_id, run, MIN(day) AS first_day, ARG_MAX(value, day) AS value, ANY_VALUE(event_type) AS event_type,
+               LEAD(MIN(day)) OVER (PARTITION BY user_id ORDER BY run) AS next_day
+        FROM runs GROUP BY user_id, run""",
+    ),
     "scd2_current": _events(also="next_ts IS NULL"),
     "scd2_asof": _events(
         also=f"first_ts <= TIMESTAMP '{EVENT_INSTANT}' AND (next_ts IS NULL OR next_ts > TIMESTAMP '{EVENT_INSTANT}')"
@@ -295,11 +321,22 @@ ORACLE: dict[str, str] = {
     ),
     "stream_loads_orders": _SILVER_ORDERS,
     "stream_scd2_events": _events(),
-    "stream_scd1_orders": """
-        SELECT * EXCLUDE (newest) FROM (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS newest
-            FROM orders) r
-        WHERE newest = 1 AND o_orderstatus <> 'P'""",
+    "stream_scd2_batches": _events(),
+    "history_change_feed": with_views(
+        """
+        SELECT user_id, event_type, moment AS "_changed_at",
+               CASE WHEN COUNT(*) OVER (PARTITION BY user_id, moment) = 2 AND sign > 0 THEN 'update_postimage'
+                    WHEN COUNT(*) OVER (PARTITION BY user_id, moment) = 2 THEN 'update_preimage'
+                    WHEN sign > 0 THEN 'insert' ELSE 'delete' END AS "_change_type"
+        FROM steps_of WHERE moment > TIMESTAMP '%s'""" % FEED_SINCE,
+        **_EVENT_STEPS,
+        steps_of="""
+        SELECT user_id, event_type, first_ts AS moment, 1 AS sign FROM versions WHERE event_type <> 'error'
+        UNION ALL
+        SELECT user_id, event_type, next_ts, -1 FROM versions WHERE event_type <> 'error' AND next_ts IS NOT NULL""",
+    ),
+    "stream_scd1_orders": _ORDERS_SCD1,
+    "stream_scd1_batches": _ORDERS_SCD1,
     "payment_rollup": with_views(
         """
         SELECT customer_id, CAST(SUM(total_payment_value) AS DOUBLE) AS total_payment_value,

@@ -25,6 +25,7 @@ BACKDATE = "1996-06-30 00:00:00"
 WATERMARK = "1998-01-01 00:00:00"
 EARLIER, LATER = "1997-01-01 00:00:00", "1999-01-01 00:00:00"
 EVENT_INSTANT = "2024-01-15 12:00:00"
+FEED_SINCE = "2024-01-10 00:00:00"
 ORDER_LOAD = LoadSpec("dbo", "orders", "o_orderdate", "", "incremental")
 
 # -- gold ----------------------------------------------------------------------------------
@@ -104,6 +105,13 @@ def scd2_tracked(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def scd2_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Days as sequence, so that most changes of a user tie and their own values decide."""
+    events = views.order_events(spark, sf).select("user_id", F.date_trunc("day", "ts").alias("day"), "event_type", "value")
+    events = events.withColumn("day", F.col("day").cast("date"))
+    return history.scd2(events, ["user_id"], "day", deletes="event_type = 'error'", tracked=["event_type"])
+
+
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
     return history.current(scd2_events(spark, sf))
 
@@ -377,6 +385,48 @@ def stream_scd1_orders(spark: SparkSession, sf: str) -> DataFrame:
     return target.table()
 
 
+def _batches(target: ChangeTarget, rows: DataFrame, sequence: str, middle: str, key: str) -> DataFrame:
+    """``rows`` in three batches: the earlier ones but for some that come late, the later ones together with
+    repeats of the first batch, and what was held back together with repeats of both."""
+    early, held = F.col(sequence) <= F.lit(middle).cast("timestamp_ntz"), F.col(key) % 97 == 0
+    repeated = F.col(key) % 5 == 0
+    target.apply(rows.where(early & ~held), 0)
+    target.apply(rows.where(~early | (repeated & ~held)), 1)
+    target.apply(rows.where(held | repeated), 2)
+    return target.table()
+
+
+def _event_target(spark: SparkSession) -> ChangeTarget:
+    return ChangeTarget(
+        LoadStore(spark, workspace(spark, "history")), "events", ("user_id",), "ts", ("event_id",),
+        deletes="event_type = 'error'", except_columns=("event_id",), buckets=8,
+    )
+
+
+def stream_scd2_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """History from three batches, one with repeats and one with late changes."""
+    rows = views.order_events(spark, sf).drop("value")
+    return _batches(_event_target(spark), rows, "ts", EVENT_INSTANT, "event_id")
+
+
+def stream_scd1_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest orders from the same kind of batches."""
+    target = ChangeTarget(
+        LoadStore(spark, workspace(spark, "latest")), "orders", ("o_custkey",), "o_orderdate", ("o_orderkey",),
+        deletes="o_orderstatus = 'P'", scd_type=1, buckets=8,
+    )
+    return _batches(target, views.table(spark, sf, "orders"), "o_orderdate", WATERMARK, "o_orderkey")
+
+
+def history_change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """What a history of users from two batches, the second with repeats, records after an instant."""
+    target, rows = _event_target(spark), views.order_events(spark, sf).drop("value")
+    early = F.col("ts") <= F.lit(EVENT_INSTANT).cast("timestamp_ntz")
+    target.apply(rows.where(early), 0)
+    target.apply(rows.where(~early | (F.col("event_id") % 5 == 0)), 1)
+    return target.changes(since=FEED_SINCE).drop("ts")
+
+
 # -- preparation ---------------------------------------------------------------------------
 
 
@@ -414,6 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_events": scd2_events,
     "scd2_orders": scd2_orders,
     "scd2_tracked": scd2_tracked,
+    "scd2_ties": scd2_ties,
     "scd2_current": scd2_current,
     "scd2_asof": scd2_asof,
     "scd1_latest": scd1_latest,
@@ -438,6 +489,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_loads_orders": stream_loads_orders,
     "stream_scd2_events": stream_scd2_events,
     "stream_scd1_orders": stream_scd1_orders,
+    "stream_scd2_batches": stream_scd2_batches,
+    "stream_scd1_batches": stream_scd1_batches,
+    "history_change_feed": history_change_feed,
     "payment_rollup": payment_rollup,
     "dim_date": dim_date,
     "sample_random": sample_random,
