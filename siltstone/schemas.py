@@ -36,13 +36,17 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class LoadSpec:
-    """One entry of the load configuration: which source table, and how much of it."""
+    """One entry of the load configuration: which source table, and how much of it.
+
+    ``cdc_key`` names columns that order rows equal in ``cdc_column``, such as a growing id.  The mark then is the value
+    and the key of the last row, and a later load takes what comes after both."""
 
     schema: str
     table: str
     cdc_column: str = ""
     from_date: str = ""
     load_strategy: str = "full"
+    cdc_key: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.load_strategy not in ("full", "incremental"):

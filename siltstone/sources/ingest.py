@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions.columns import require
 from siltstone.operators.cluster import by_folder
-from siltstone.schemas import LoadSpec
+from siltstone.schemas import FIRST_WATERMARK, LoadSpec
 from siltstone.session import control_rows
 from siltstone.sources.store import LoadStore, instant
 
@@ -25,33 +25,60 @@ STATUS = T.StructType(
 )
 
 
-def lower_bound(load: LoadSpec, last: str) -> str:
+def lower_bound(load: LoadSpec, last: str | None) -> str | None:
     """The backdate when one is given, else the stored watermark."""
     return load.from_date or last
 
 
+def _dated(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType))
+
+
+def mark_text(col: Column, kind: T.DataType) -> Column:
+    """A value as text that reads back the same in every session: an instant is written in UTC, with its zone,
+    so the hour that a zone's clocks repeat stays two hours."""
+    if isinstance(kind, T.TimestampType):
+        since = F.make_dt_interval(secs=(F.unix_micros(col) / F.lit(1_000_000)).cast("decimal(18,6)"))
+        return F.concat((F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).cast("string"), F.lit("Z"))
+    return col.cast("string")
+
+
 def extract(
-    rows: DataFrame, load: LoadSpec, last: str, overlap: str | None = None, include_null: bool = False
+    rows: DataFrame, load: LoadSpec, last: str | None, overlap: str | None = None, include_null: bool = False,
+    last_key: Sequence[str] = (),
 ) -> DataFrame:
     """The rows of one load: all of them, or those beyond the lower bound.
 
     The bound is a literal of the column's own type, so the comparison reaches the scan.  A row
     equal to the bound or without a value stays out; ``overlap`` (an interval such as
     ``"1 hour"``) re-reads a margin below the bound and ``include_null`` adds rows without a value.
+    With ``last_key``, the load's ``cdc_key`` of the last row seen, rows equal to the bound come too if their
+    key is greater; so rows that share a value with the mark are neither lost nor read twice.  Without a bound
+    every row with a value comes.
     """
     if not load.incremental:
         return rows
-    require(rows, [load.cdc_column], load.table)
+    require(rows, [load.cdc_column, *load.cdc_key], load.table)
     column = F.col(load.cdc_column)
-    bound = _typed(rows, load, lower_bound(load, last))
+    text = lower_bound(load, last)
+    if text is None:
+        return rows if include_null else rows.where(column.isNotNull())
+    bound = _typed(rows, load.cdc_column, text)
     if overlap:
         bound = bound - F.expr(f"INTERVAL '{overlap}'")
     wanted = column > bound
+    if last_key and not overlap and not load.from_date:
+        beyond, level = F.lit(False), column == bound
+        for name, value in zip(load.cdc_key, last_key, strict=True):
+            at = _typed(rows, name, value)
+            beyond, level = beyond | (level & (F.col(name) > at)), level & (F.col(name) == at)
+        # Said once for the scan, then exactly.
+        wanted = (column >= bound) & (wanted | beyond)
     return rows.where(wanted | column.isNull() if include_null else wanted)
 
 
-def _typed(rows: DataFrame, load: LoadSpec, text: str) -> Column:
-    return F.lit(text).cast(rows.schema[load.cdc_column].dataType)
+def _typed(rows: DataFrame, name: str, text: str) -> Column:
+    return F.lit(text).cast(rows.schema[name].dataType)
 
 
 def ingest(
@@ -73,20 +100,31 @@ def ingest(
         store.commit(load.table, load_id, "full", **facts)
         return _status(load, facts["rows"], None)
 
-    last = store.watermark(load.table).first().cdc
-    data = extract(rows, load, last, overlap, include_null)
-    previous = _typed(rows, load, last)
-    metrics = {
-        "cdc": F.greatest(F.max(load.cdc_column), previous).cast("string"),
+    cdc, key = store.mark(load.table)
+    kind = rows.schema[load.cdc_column].dataType
+    # Times have a first mark before any load; numbers have none.
+    last = cdc or (FIRST_WATERMARK if _dated(kind) else None)
+    data = extract(rows, load, last, overlap, include_null, key if load.cdc_key else ())
+    bound = lower_bound(load, last)
+    ordered = [load.cdc_column, *load.cdc_key]
+    place = F.struct(*ordered)
+    newest = F.max(F.when(F.col(load.cdc_column).isNotNull(), place))
+    if last is not None:
+        given = [key[i] if i < len(key) else None for i in range(len(load.cdc_key))]
+        reached = F.struct(*[(F.lit(v).cast(rows.schema[c].dataType)).alias(c) for c, v in zip(ordered, [last, *given])])
+        newest = F.greatest(newest, reached)
+    metrics = {"cdc": mark_text(newest[load.cdc_column], kind)}
+    if load.cdc_key:
+        metrics["cdc_key"] = F.array(*[mark_text(newest[c], rows.schema[c].dataType) for c in load.cdc_key])
+    if last is not None:
         # A backdate beyond the watermark leaves unread rows between the two.
-        "gap": F.max(_typed(rows, load, lower_bound(load, last)) > previous),
-    }
-    facts = store.write(by_folder(data, []) if gather else data, load.table, load_id, metrics)
+        metrics["gap"] = F.max(_typed(rows, load.cdc_column, bound) > _typed(rows, load.cdc_column, last))
+    facts = {"gap": False} | store.write(by_folder(data, []) if gather else data, load.table, load_id, metrics)
     if facts["rows"] == 0:
         return _status(load, 0, last)
     if count_nulls:
         facts["null_cdc_rows"] = rows.where(F.col(load.cdc_column).isNull()).count()
-    store.commit(load.table, load_id, "incremental", lower_bound=lower_bound(load, last), **facts)
+    store.commit(load.table, load_id, "incremental", lower_bound=bound, **facts)
     return _status(load, facts["rows"], facts["cdc"])
 
 

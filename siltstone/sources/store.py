@@ -27,6 +27,7 @@ LEDGER = T.StructType(
         T.StructField("strategy", T.StringType()),  # full | incremental
         T.StructField("rows", T.LongType()),
         T.StructField("cdc", T.StringType()),
+        T.StructField("cdc_key", T.ArrayType(T.StringType())),  # of the last row at that mark, where the load names keys
         T.StructField("lower_bound", T.StringType()),
         T.StructField("gap", T.BooleanType()),
         T.StructField("null_cdc_rows", T.LongType()),
@@ -111,13 +112,16 @@ class LoadStore:
 
     def watermark(self, table: str) -> DataFrame:
         """One row: the table's committed high-water mark, or the first one before any load."""
-        newest = F.max_by("cdc", F.struct("committed_at", "load_id")).alias("cdc")
-        return (
-            self.ledger(table)
-            .where(F.col("cdc").isNotNull())
-            .agg(newest)
-            .select(F.lit(table).alias("table"), F.coalesce("cdc", F.lit(FIRST_WATERMARK)).alias("cdc"))
-        )
+        return self._marks(table).select(F.lit(table).alias("table"), F.coalesce("cdc", F.lit(FIRST_WATERMARK)).alias("cdc"))
+
+    def _marks(self, table: str) -> DataFrame:
+        newest = F.max_by(F.struct("cdc", "cdc_key"), F.struct("committed_at", "load_id")).alias("mark")
+        return self.ledger(table).where(F.col("cdc").isNotNull()).agg(newest).select("mark.cdc", "mark.cdc_key")
+
+    def mark(self, table: str) -> tuple[str | None, list[str]]:
+        """The committed high-water mark as text, None before any load, and the keys of the last row at it."""
+        found = self._marks(table).first()
+        return found.cdc, found.cdc_key or []
 
     def visible(self, table: str, upto: str | None = None) -> list:
         """Ledger rows (control data, one per load) that make up the table: the newest full load

@@ -38,7 +38,7 @@ def test_two_step_load(spark, store):
     first = orders(spark, (1, "2024-01-01"), (2, "2024-01-02"))
     assert mark(store) == FIRST_WATERMARK
     assert ingest(spark, source(first), ORDERS, store) == {
-        "table": "FactOrder", "strategy": "incremental", "rows": 2, "cdc": "2024-01-02 00:00:00",
+        "table": "FactOrder", "strategy": "incremental", "rows": 2, "cdc": "2024-01-02 00:00:00Z",
     }
     second = orders(spark, (1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03"))
     assert ingest(spark, source(second), ORDERS, store)["rows"] == 1
@@ -49,7 +49,7 @@ def test_no_new_rows_commit_nothing(spark, store):
     df = orders(spark, (1, "2024-01-01"))
     ingest(spark, source(df), ORDERS, store)
     assert ingest(spark, source(df), ORDERS, store) == {
-        "table": "FactOrder", "strategy": "incremental", "rows": 0, "cdc": "2024-01-01 00:00:00",
+        "table": "FactOrder", "strategy": "incremental", "rows": 0, "cdc": "2024-01-01 00:00:00Z",
     }
     assert store.ledger("FactOrder").count() == 1 and ids(store.read("FactOrder")) == [1]
 
@@ -70,7 +70,7 @@ def test_backdate_rereads_and_never_moves_the_watermark_back(spark, store):
     early = orders(spark, (1, "2024-01-01"), (2, "2024-01-04"))
     again = LoadSpec("dbo", "FactOrder", "order_approved_at", "2023-12-31", "incremental")
     assert ingest(spark, source(early), again, store)["rows"] == 2
-    assert mark(store) == "2024-01-05 00:00:00"
+    assert mark(store) == "2024-01-05 00:00:00Z"
     assert not any(r.gap for r in store.ledger("FactOrder").collect()[1:])
 
 
@@ -85,7 +85,7 @@ def test_backdate_beyond_the_watermark_is_flagged(spark, store):
 def test_failed_load_is_invisible_and_vacuumed(spark, store):
     ingest(spark, source(orders(spark, (1, "2024-01-01"))), ORDERS, store)
     store.write(orders(spark, (9, "2024-02-01")), "FactOrder", "crashed")
-    assert ids(store.read("FactOrder")) == [1] and mark(store) == "2024-01-01 00:00:00"
+    assert ids(store.read("FactOrder")) == [1] and mark(store) == "2024-01-01 00:00:00Z"
     assert store.vacuum("FactOrder") == []
     assert store.vacuum("FactOrder", older_than_hours=-1) == ["crashed"]
     assert ids(store.read("FactOrder")) == [1]
@@ -129,7 +129,7 @@ def test_all_tables_in_parallel(spark, store):
     tables = {l.table: orders(spark, (1, "2024-01-01")).withColumn("updated_at", F.col("order_approved_at")) for l in LOADS}
     status = ingest_all(spark, FrameSource(tables), LOADS, store, parallel=3)
     got = {r.table: (r.strategy, r.rows, r.cdc) for r in status.collect()}
-    assert got["FactOrder"] == ("incremental", 1, "2024-01-01 00:00:00")
+    assert got["FactOrder"] == ("incremental", 1, "2024-01-01 00:00:00Z")
     assert got["DimDate"] == ("full", 1, None) and len(got) == 6
 
 
@@ -174,3 +174,56 @@ def test_catalog_source(spark):
     assert CatalogSource(with_schema=False).read(spark, "", "some_orders").count() == 3
     with pytest.raises(ValueError):
         CatalogSource().read(spark, "dbo", "a b")
+
+
+@pytest.fixture
+def in_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def loaded(spark, store, rows, load):
+    ingest(spark, FrameSource({load.table: rows}), load, store)
+    return sorted(r.id for r in store.read(load.table).collect())
+
+
+def test_the_hour_that_occurs_twice(spark, store, in_zone):
+    """Two instants that a zone's clock shows alike are two marks, in whatever zone the next session runs."""
+    hour = 3600 * 1_000_000
+    rows = spark.createDataFrame([(1, 0), (2, hour), (3, 2 * hour)], "id int, after long")
+    base = 1730611800 * 1_000_000  # 2024-11-03 05:30 UTC, 01:30 in New York; an hour later it is 01:30 again
+    rows = rows.select("id", F.timestamp_micros(F.col("after") + base).alias("at"))
+    load = LoadSpec("dbo", "t", "at", "", "incremental")
+    in_zone("America/New_York")
+    assert loaded(spark, store, rows.where("id = 1"), load) == [1]
+    assert store.mark("t")[0] == "2024-11-03 05:30:00Z"
+    assert loaded(spark, store, rows.where("id < 3"), load) == [1, 2]
+    in_zone("Asia/Tokyo")
+    assert loaded(spark, store, rows, load) == [1, 2, 3]
+    assert loaded(spark, store, rows, load) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "decimal(12,3)", "double", "date", "string", "timestamp_ntz"])
+def test_marks_of_every_type(spark, store, kind):
+    rows = spark.range(1, 7).select(F.col("id").cast("int").alias("id"), F.col("id").alias("n"))
+    value = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id")) if kind in ("date", "string", "timestamp_ntz") else F.col("n")
+    rows = rows.withColumn("v", value.cast(kind))
+    load = LoadSpec("dbo", "t", "v", "", "incremental")
+    assert loaded(spark, store, rows.where("id <= 2").unionByName(rows.where("id = 1").withColumn("v", F.lit(None).cast(kind))), load) == [1, 2]
+    assert loaded(spark, store, rows, load) == [1, 2, 3, 4, 5, 6]
+    assert loaded(spark, store, rows, load) == [1, 2, 3, 4, 5, 6]
+
+
+def test_rows_equal_to_the_mark_come_by_key(spark, store):
+    rows = spark.createDataFrame([(i, i // 4, "abcd"[i % 4]) for i in range(12)], "id int, v int, k string")
+    load = LoadSpec("dbo", "t", "v", "", "incremental", ("k", "id"))
+    assert loaded(spark, store, rows.where("id < 6"), load) == [*range(6)]
+    assert store.mark("t") == ("1", ["b", "5"])
+    assert loaded(spark, store, rows.where("id < 6"), load) == [*range(6)]
+    assert loaded(spark, store, rows.where("id < 7"), load) == [*range(7)]
+    assert loaded(spark, store, rows, load) == [*range(12)]
+    # Without keys, rows equal to the mark stay out.
+    plain = LoadSpec("dbo", "u", "v", "", "incremental")
+    assert loaded(spark, store, rows.where("id < 6"), plain) == [*range(6)]
+    assert loaded(spark, store, rows, plain) == [*range(6), *range(8, 12)]

@@ -302,6 +302,8 @@ ORACLE: dict[str, str] = {
     "watermark_max": "SELECT 'events' AS \"table\", 'incremental' AS strategy, COUNT(*) AS rows, "
     "CAST(MAX(ts) AS VARCHAR) AS cdc, '1900-01-01' AS lower_bound, FALSE AS gap, "
     "COUNT(*) - COUNT(ts) AS null_cdc_rows FROM events",
+    "watermark_zone": "SELECT * FROM events",
+    "watermark_bigint": "SELECT * FROM events",
     "ingest_all_status": " UNION ALL ".join(
         [
             *(

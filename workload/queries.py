@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from siltstone.plans import catalog, marts
 from siltstone.schemas import LoadSpec
 from siltstone.session import tune, workspace
 from siltstone.sources.ingest import extract, ingest, ingest_all
-from siltstone.sources.readers import ParquetSource
+from siltstone.sources.readers import FrameSource, ParquetSource
 from siltstone.sources.store import LoadStore
 from siltstone.streaming import files, loads
 from siltstone.streaming.changes import ChangeTarget
@@ -267,6 +268,46 @@ def watermark_max(spark: SparkSession, sf: str) -> DataFrame:
     return store.ledger("events").select("table", "strategy", "rows", "cdc", "lower_bound", "gap", "null_cdc_rows")
 
 
+@contextmanager
+def _zone(spark: SparkSession, name: str):
+    """The session in another time zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", name)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def watermark_zone(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as instants, in two loads by sessions of different zones; the second finds all of them."""
+    store = _bronze(spark)
+    micros = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, ts)")
+    events = views.table(spark, sf, "events").withColumn("ts", F.timestamp_micros(micros))
+    load = LoadSpec("dbo", "events", "ts", "", "incremental", ("event_id",))
+    until = micros <= F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, TIMESTAMP_NTZ '{EVENT_INSTANT}')")
+    early = views.table(spark, sf, "events").where(until).withColumn("ts", F.timestamp_micros(micros))
+    for zone, rows in (("America/New_York", early), ("Asia/Tokyo", events)):
+        with _zone(spark, zone):
+            ingest(spark, FrameSource({"events": rows}), load, store)
+    seconds = F.expr("make_dt_interval(0, 0, 0, CAST(unix_micros(ts) / 1000000 AS DECIMAL(18,6)))")
+    return store.read("events").withColumn("ts", F.expr(_EPOCH) + seconds)
+
+
+def watermark_bigint(spark: SparkSession, sf: str) -> DataFrame:
+    """Events by a number that many of them share, in three loads that end inside one number's rows."""
+    store, events = _bronze(spark), views.table(spark, sf, "events")
+    load = LoadSpec("dbo", "events", "user_id", "", "incremental", ("event_id",))
+    place = F.struct("user_id", "event_id")
+    ends = [F.struct(F.lit(u).cast("bigint"), F.lit(e).cast("bigint")) for u, e in ((7, 500), (12, 300))]
+    for rows in (events.where(place < ends[0]), events.where(place < ends[1]), events):
+        ingest(spark, FrameSource({"events": rows}), load, store)
+    return store.read("events")
+
+
 def ingest_all_status(spark: SparkSession, sf: str) -> DataFrame:
     config = [
         LoadSpec("dbo", "customer"),
@@ -482,6 +523,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_backdate": ingest_backdate,
     "watermark_last": watermark_last,
     "watermark_max": watermark_max,
+    "watermark_zone": watermark_zone,
+    "watermark_bigint": watermark_bigint,
     "ingest_all_status": ingest_all_status,
     "schema_evolution": schema_evolution,
     "stream_append_orders": stream_append_orders,
