@@ -1,38 +1,15 @@
-"""Expressions that turn ordered values into numbers, cut points and interleaved bits."""
+"""Total orders, ranks among sampled cut points, interleaved bits."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def position(df: DataFrame, name: str) -> Column:
-    """A double that never decreases as ``name`` grows; NULL lies below everything.
-
-    Strings keep the order of their first six bytes.  ``timestamp_ntz`` goes through its
-    calendar fields, since a cast would apply the session zone's clock changes.
-    """
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6)), 12, "0")
-        value = F.conv(head, 16, 10).cast("double")
-    elif isinstance(kind, T.DateType):
-        value = F.unix_date(col).cast("double")
-    elif isinstance(kind, T.TimestampNTZType):
-        day = F.unix_date(col.cast("date")).cast("double")
-        second = F.date_part(F.lit("SECOND"), col).cast("double")
-        value = day * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + second
-    elif isinstance(kind, (T.NumericType, T.TimestampType)):
-        value = col.cast("double")
-    else:
-        raise TypeError(f"no order-preserving number for {name}: {kind.simpleString()}")
-    return F.coalesce(value, F.lit(float("-inf")))
+from siltstone.session import saved
 
 
 def last_resort(df: DataFrame, known: Sequence[str]) -> list[Column]:
@@ -63,23 +40,37 @@ def row_digest(df: DataFrame, names: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], pieces: int) -> list[list[float]]:
-    """At most ``pieces - 1`` equal-share cut points per numeric column, in one pass.
+# Rows sampled for each range that values are cut into.
+SAMPLED = 32
+
+
+def with_ranks(df: DataFrame, names: Mapping[str, str], pieces: int, rows: int) -> DataFrame:
+    """``df`` with an integer column ``names[c]`` for each ordered column ``c``: in which of ``pieces`` ranges of
+    about equal share its value lies, from 0; NULL lies in the first.
 
-    The driver receives only the points; tasks merge fixed-size quantile summaries.
+    The cut points are whole values of the column's own type, whatever it is, from a sample of about SAMPLED
+    of the ``rows`` for each range.  They are found with a binary search, one comparison per step, inside the generated
+    code.  The sample decides only how even the ranges are.
     """
-    shares = [i / pieces for i in range(1, pieces)]
-    found = df.approxQuantile(list(columns), shares, 0.25 / pieces)
-    return [sorted({p for p in points if p != float("-inf")}) for points in found]
-
-
-def with_bucket(df: DataFrame, column: str, cuts: list[float], name: str) -> DataFrame:
-    """Adds ``name``: how many of ``cuts`` lie at or below ``column`` (binary search per row)."""
-    if not cuts:
-        return df.withColumn(name, F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    out = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
-    return out.withColumn(name, F.col(name).cast("int"))
+    if pieces < 2:
+        return df.withColumns({rank: F.lit(0) for rank in names.values()})
+    wanted = SAMPLED * pieces
+    sample = df if rows <= wanted else df.sample(wanted / rows, 7)
+    depth = (pieces - 1).bit_length()
+    listed = sample.agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in names])
+
+    def cuts(c: str) -> Column:
+        places = F.sequence(F.lit(1), F.lit(pieces - 1))
+        return F.transform(places, lambda i: F.get(c, F.floor(i * F.size(c) / F.lit(pieces)).cast("int")))
+
+    found = saved(listed.select(*[cuts(c).alias(c) for c in names]))
+    points = {c: found.select(c).scalar() for c in names}
+    out = df.withColumns({rank: F.lit(0) for rank in names.values()})
+    for step in (1 << k for k in reversed(range(depth))):
+        # Beyond the last cut point there is NULL, which no value reaches.
+        reached = {c: F.get(points[c], F.col(rank) + (step - 1)) <= F.col(c) for c, rank in names.items()}
+        out = out.withColumns({rank: F.when(reached[c], F.col(rank) + step).otherwise(F.col(rank)) for c, rank in names.items()})
+    return out
 
 
 def interleave(columns: Sequence[Column], bits: int) -> Column:

@@ -2,38 +2,46 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import require
-from siltstone.functions.order import cut_points, interleave, position, with_bucket
+from siltstone.functions.order import interleave, with_ranks
 
 
-def zorder(df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), bits: int = 6) -> DataFrame:
-    """The same rows, range-partitioned and sorted by the interleaved ranks of ``columns``.
+ROWS_PER_FILE = 1_000_000
+MOST_BITS = 12
 
-    Each column is cut into ``2**bits`` ranges of equal share.  ``within`` (the folder
-    columns of a partitioned write) comes first.  The input partition number is the last
-    range key, so one value held by very many rows still spreads over several tasks.
 
-    ``df`` is read once for the ranks, once for the range bounds and once for the rows; pass
+def zorder(
+    df: DataFrame, columns: Sequence[str], within: Sequence[str] = (), files: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> DataFrame:
+    """The same rows, range-partitioned and sorted by the interleaved ranks of ``columns``, of any ordered types.
+
+    Each column is cut into ranges of equal share, so many that all columns together tell eight times as many
+    places apart as there are files (``files``, or rows by ``rows_per_file``); a column has 2**MOST_BITS ranges
+    at most.  Inside one place the columns themselves order the rows, so however many rows share a place, files are
+    cut by whole values.  ``within`` (the folder columns of a partitioned write) comes first.  The input partition
+    number is the last range key, so one value held by very many rows still spreads over several tasks.
+
+    ``df`` is read once to be counted, once for a sample, once for the range bounds and once for the rows; pass
     a written table, not an expensive query.
     """
     require(df, [*columns, *within], "zorder")
-    names = [f"_pos{i}" for i in range(len(columns))]
-    ranks = [f"_rank{i}" for i in range(len(columns))]
-    ranked = df.withColumns({n: position(df, c) for n, c in zip(names, columns)})
-    for name, rank, cuts in zip(names, ranks, cut_points(ranked, names, 2**bits)):
-        ranked = with_bucket(ranked, name, cuts, rank)
-    code = interleave([F.col(r) for r in ranks], bits)
-    placed = ranked.withColumns({"_z": code, "_from": F.spark_partition_id()}).drop(*names, *ranks)
-    return (
-        placed.repartitionByRange(*within, "_z", "_from")
-        .sortWithinPartitions(*within, "_z")
-        .drop("_z", "_from")
-    )
+    rows = df.count()
+    expected = files or max(1, math.ceil(rows / rows_per_file))
+    bits = min(MOST_BITS, 62 // len(columns), math.ceil(math.log2(expected) / len(columns)) + 3)
+    ranks = {c: f"_rank{i}" for i, c in enumerate(columns)}
+    ranked = with_ranks(df, ranks, 2**bits, rows)
+    code = interleave([F.col(r) for r in ranks.values()], bits)
+    placed = ranked.withColumns({"_z": code, "_from": F.spark_partition_id()}).drop(*ranks.values())
+    by = [*within, "_z", *columns, "_from"]
+    spread = placed.repartitionByRange(files, *by) if files else placed.repartitionByRange(*by)
+    return spread.sortWithinPartitions(*within, "_z", *columns).drop("_z", "_from")
 
 
 def by_folder(df: DataFrame, columns: Sequence[str]) -> DataFrame:

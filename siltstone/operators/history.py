@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.columns import holds, null_safe_join, require
 from siltstone.functions.order import last_resort
 from siltstone.operators.conform import latest
-from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, heavy_keys, split_heavy
+from siltstone.operators.skew import SEGMENT, SPLIT_FLOOR, apart, split_heavy
 from siltstone.session import saved
 
 START, END, DELETED = "__START_AT", "__END_AT", "__DELETED"
@@ -153,11 +153,8 @@ def scd2(
 def _without_copies(rows: DataFrame, change: list[str], ties: Sequence[str], floor: int) -> DataFrame:
     """``rows`` where a change repeated very many times has collapsed on the map side, since no
     cut of the sequence can spread it.  Other repeats are left to the windows."""
-    repeated, _ = heavy_keys(rows, change, floor)
-    if not repeated:
-        return rows
-    is_repeated = F.xxhash64(*change).isin(list(repeated))
-    return rows.where(~is_repeated).unionByName(latest(rows.where(is_repeated), change, ties))
+    ordinary, repeated = apart(rows, change, floor)
+    return rows if repeated is None else ordinary.unionByName(latest(repeated, change, ties))
 
 
 def scd1(

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.order import cut_points, position, with_bucket
+from siltstone.functions.order import with_ranks
+from siltstone.session import saved
 
 SEGMENT = "_segment"
 
@@ -17,29 +18,37 @@ SPLIT_FLOOR = 2_000_000
 
 # Sketches are merged in this many groups at most, so no task merges those of all tasks.
 SKETCH_GROUPS = 200
-MAX_HEAVY = 2048
+# Most shares that rows are counted in: a share is a part of this size of all rows, or a larger one on fewer partitions.
+# At most so many keys can exceed a share, so their hashes (16 bytes each) are a table of bounded size.
+SHARES = 100_000
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = SPLIT_FLOOR) -> tuple[dict[int, int], int]:
-    """Hash and row count of the keys that hold more than a fair share, and that share.
+def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = SPLIT_FLOOR) -> tuple[DataFrame | None, int, int]:
+    """``h, n``: hash and row count of the keys that hold more than a fair share; that share; the rows they hold.
+    Without such a key the table is None.
 
     One narrow pass: each task keeps a frequent-items sketch of fixed size, sketches are merged
-    group by group, and the groups' top lists are summed.  At most ``partitions`` keys can exceed
-    ``rows / partitions``, and at most ``MAX_HEAVY`` reach the driver.  What is found decides
-    only how rows are spread; results do not depend on it.
+    group by group, and the groups' top lists are summed.  The keys stay a table; the driver gets two numbers.
+    What is found decides only how rows are spread; results do not depend on it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = max(1, min(parts, MAX_HEAVY))
+    k = max(1, min(parts, SHARES))
     top = F.expr(f"approx_top_k(h, {k}, {max(4096, 8 * k)})")
     rows = df.select(F.xxhash64(*keys).alias("h"), (F.spark_partition_id() % min(parts, SKETCH_GROUPS)).alias("g"))
     groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), top.alias("top"))
     # The row count travels as an item without a key.
     total = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("n").alias("count"))
-    items = groups.select(F.inline(F.array_append("top", total)))
-    found = items.groupBy("item").agg(F.sum("count").alias("n")).orderBy(F.desc("n")).limit(k + 1).collect()
-    count = {r.item: r.n for r in found}
-    share = max(floor, math.ceil(count.pop(None, 0) / parts))
-    return {h: n for h, n in count.items() if n > share}, share
+    items = groups.select(F.inline(F.array_append("top", total))).groupBy("item").agg(F.sum("count").alias("n"))
+    items = saved(items.where(F.col("item").isNull() | (F.col("n") > floor)))
+    share = max(floor, math.ceil((items.where("item IS NULL").agg(F.sum("n")).first()[0] or 0) / k))
+    found = items.where("item IS NOT NULL").where(F.col("n") > share).select(F.col("item").alias("h"), "n")
+    held = found.agg(F.sum("n")).first()[0] or 0
+    return (found if held else None), share, held
+
+
+def _having(df: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str) -> DataFrame:
+    """The rows whose key is (``left_semi``) or is not (``left_anti``) among ``heavy``, a table of SHARES rows at most."""
+    return df.join(F.broadcast(heavy.select(F.col("h").alias("_heavy"))), F.xxhash64(*keys) == F.col("_heavy"), how)
 
 
 def split_heavy(
@@ -47,15 +56,20 @@ def split_heavy(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of heavy keys with a ``_segment`` number or None).
 
-    Segments are ranges of the sequence that hold about a fair share of the heavy rows each.
-    Equal sequence values fall into the same segment, and segment order is sequence order.
+    Segments are ranges of the sequence that hold about a fair share of the heavy rows each, cut at values of its own
+    type, text included.  Equal sequence values fall into the same segment, and segment order is sequence order.
     """
-    hashes, share = heavy_keys(df, keys, floor)
-    if not hashes:
+    heavy, share, held = heavy_keys(df, keys, floor)
+    if heavy is None:
+        return df, None
+    pieces = max(2, math.ceil(held / share))
+    rows = with_ranks(_having(df, keys, heavy, "left_semi"), {sequence: SEGMENT}, pieces, held)
+    return _having(df, keys, heavy, "left_anti"), rows
+
+
+def apart(df: DataFrame, keys: Sequence[str], floor: int) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of heavy keys or None)."""
+    heavy, _, _ = heavy_keys(df, keys, floor)
+    if heavy is None:
         return df, None
-    is_heavy = F.xxhash64(*keys).isin(list(hashes))
-    heavy = df.where(is_heavy).withColumn("_position", position(df, sequence))
-    pieces = max(2, math.ceil(sum(hashes.values()) / share))
-    [cuts] = cut_points(heavy, ["_position"], pieces)
-    heavy = with_bucket(heavy, "_position", cuts, SEGMENT).drop("_position")
-    return df.where(~is_heavy), heavy
+    return _having(df, keys, heavy, "left_anti"), _having(df, keys, heavy, "left_semi")

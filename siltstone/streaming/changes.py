@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltstone.functions.columns import holds, null_safe_join
 from siltstone.functions.order import row_digest
-from siltstone.operators.cluster import by_folder
+from siltstone.operators.cluster import by_folder, zorder
 from siltstone.operators.conform import latest
 from siltstone.operators.feed import history_feed
 from siltstone.operators.history import DELETED, END, START, scd2
@@ -59,6 +59,7 @@ class ChangeTarget:
     buckets: int = 64
     split_floor: int | None = SPLIT_FLOOR
     fold_after: int = 200
+    cluster_by: Sequence[str] = ()  # columns that folding clusters the table by, inside its folders
 
     @property
     def log(self) -> str:
@@ -241,7 +242,9 @@ class ChangeTarget:
         if len(loads) > 1:
             folders = [OPEN, BUCKET] if self.scd_type == 2 else [BUCKET]
             folded = f"{loads[-1].load_id}_folded"
-            facts = self.store.write(by_folder(self._rows(loads), folders), self.name, folded, partition_by=folders)
+            rows = self._rows(loads)
+            rows = zorder(saved(rows), self.cluster_by, folders) if self.cluster_by else by_folder(rows, folders)
+            facts = self.store.write(rows, self.name, folded, partition_by=folders)
             self._commit(folded, "full", 0, facts)
         logs = self.store.visible(self.log)
         if len(logs) > 1:

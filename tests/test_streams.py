@@ -182,7 +182,7 @@ def test_versions_that_vanish_come_back(spark, tmp_path):
         t.apply(spark.createDataFrame(part, FEED), batch)
         whole = scd2(spark.createDataFrame(seen, FEED), ["k"], "seq", ["id"], deletes="op = 'D'", except_columns=["id", "op"])
         assert same(t.table(), whole) and same(t.current(), current(whole))
-    t.fold()
+    target(spark, tmp_path, fold_after=100, cluster_by=("a", "b")).fold()
     assert same(t.table(), whole) and len(t.store.visible("t")) == 1
 
 

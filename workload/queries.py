@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import replace
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas
@@ -74,6 +76,38 @@ def zorder_preserves_rows(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.zorder(items, ["l_partkey", "l_shipdate"])
 
 
+def zorder_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether clustering leaves a key in at most half as many files, by the least and greatest value of each file: for a text
+    whose first bytes are all alike, a decimal and a date.  Keys of every hundredth order are looked for."""
+    orders = views.table(spark, sf, "orders").select(
+        F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 12, "0")).alias("customer"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("price"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        (F.col("o_orderkey") % 100 == 0).alias("asked"),
+    )
+    columns, root = ["customer", "price", "day"], workspace(spark, "layout")
+    orders.repartition(64, F.xxhash64(*columns)).write.parquet(f"{root}/before")
+    before = spark.read.parquet(f"{root}/before")
+    cluster.zorder(before, columns, files=64).write.parquet(f"{root}/after")
+    after = spark.read.parquet(f"{root}/after")
+
+    def covering(rows: DataFrame, name: str) -> Column:
+        """The files that may hold the key of a row, by the least and greatest value of each of the 64."""
+        file = F.col("_metadata.file_path")
+        ends = rows.groupBy(file.alias("file")).agg(F.min(name).alias("least"), F.max(name).alias("most")).collect()
+        kind = rows.schema[name].dataType
+        return reduce(add, [F.col(name).between(F.lit(e.least).cast(kind), F.lit(e.most).cast(kind)).cast("int") for e in ends])
+
+    counts = before.where("asked").agg(
+        *[F.sum(covering(rows, c)).alias(f"{c}_{n}") for c in columns for n, rows in (("before", before), ("after", after))]
+    )
+    found = [
+        F.struct(F.lit(c).alias("key"), (2 * F.col(f"{c}_after") <= F.col(f"{c}_before")).alias("fewer"), (F.col(f"{c}_after") > 0).alias("found"))
+        for c in columns
+    ]
+    return counts.select(F.inline(F.array(*found)))
+
+
 # -- history -------------------------------------------------------------------------------
 
 
@@ -502,6 +536,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_publish_months": gold_publish_months,
     "gold_current_customers": gold_current_customers,
     "zorder_preserves_rows": zorder_preserves_rows,
+    "zorder_spread": zorder_spread,
     "scd2_events": scd2_events,
     "scd2_orders": scd2_orders,
     "scd2_tracked": scd2_tracked,
