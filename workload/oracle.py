@@ -227,6 +227,15 @@ ORACLE: dict[str, str] = {
     "scd2_asof": _events(
         also=f"first_ts <= TIMESTAMP '{EVENT_INSTANT}' AND (next_ts IS NULL OR next_ts > TIMESTAMP '{EVENT_INSTANT}')"
     ),
+    "scd2_asof_join": with_views(
+        """
+        SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, o.o_orderdate - INTERVAL 30 DAY AS asked_at,
+               v.order_status, v.payment_type, v.valid_from AS "__START_AT", v.valid_to AS "__END_AT"
+        FROM orders o LEFT JOIN versions v ON v.customer_id = o.o_custkey
+             AND v.valid_from <= o.o_orderdate - INTERVAL 30 DAY
+             AND (v.valid_to IS NULL OR o.o_orderdate - INTERVAL 30 DAY < v.valid_to)""",
+        **_ORDER_STEPS,
+    ),
     "scd1_latest": with_views(
         """
         SELECT * EXCLUDE (newest) FROM (

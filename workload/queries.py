@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import schemas
-from siltstone.operators import cluster, conform, feed, history, prepare, quality
+from siltstone.operators import asof, cluster, conform, feed, history, prepare, quality
 from siltstone.plans import catalog, marts
 from siltstone.schemas import LoadSpec
 from siltstone.session import tune, workspace
@@ -155,6 +155,15 @@ def scd2_asof(spark: SparkSession, sf: str) -> DataFrame:
     return history.as_of(scd2_events(spark, sf), EVENT_INSTANT)
 
 
+def scd2_asof_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order with what was known of its customer thirty days before."""
+    orders = views.fact_order(spark, sf).select(
+        "order_id", "customer_id", (F.col("order_purchase_timestamp") - F.expr("INTERVAL '30' DAY")).alias("asked_at")
+    )
+    versions = scd2_orders(spark, sf).drop("order_purchase_timestamp")
+    return asof.asof_join(orders, versions, ["customer_id"], "asked_at")
+
+
 def scd1_latest(spark: SparkSession, sf: str) -> DataFrame:
     return history.scd1(
         views.fact_order(spark, sf),
@@ -543,6 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_ties": scd2_ties,
     "scd2_current": scd2_current,
     "scd2_asof": scd2_asof,
+    "scd2_asof_join": scd2_asof_join,
     "scd1_latest": scd1_latest,
     "dedup_latest": dedup_latest,
     "change_feed": change_feed,
