@@ -30,13 +30,30 @@ def converted(df: DataFrame, name: str, kind: str | None, strict: bool) -> Colum
     return (col.cast(kind) if strict else col.try_cast(kind)).alias(name)
 
 
-def conform(df: DataFrame, spec: TableSpec, strict: bool = False, stamp: bool = True) -> DataFrame:
+RESCUED = "_rescued"
+
+
+def rescued(df: DataFrame, spec: TableSpec) -> Column:
+    """What does not fit the columns of ``spec``: a map from the column's name to the value as text."""
+    found = [
+        F.when(F.col(n).isNotNull() & converted(df, n, k, False).isNull(), F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")))
+        for n, k in spec.columns.items()
+        if k is not None and n in df.columns
+    ]
+    return F.map_from_entries(F.array_compact(F.array(*found))).alias(RESCUED)
+
+
+def conform(
+    df: DataFrame, spec: TableSpec, strict: bool = False, stamp: bool = True, rescue: bool = False
+) -> DataFrame:
     """The silver projection; works alike on a batch and on a stream.
 
     A source without a key column, or, if strict, without any column, is an error; other missing
-    columns are NULL."""
+    columns are NULL.  With ``rescue`` a column ``_rescued`` keeps the values that do not convert."""
     require(df, list(spec.columns) if strict else [k for k in spec.keys if k in spec.columns], "conform")
     columns = [converted(df, name, kind, strict) for name, kind in spec.columns.items()]
+    if rescue:
+        columns.append(rescued(df, spec))
     if stamp:
         columns.append(F.current_timestamp().alias(INGESTED_AT))
     return df.select(*columns)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import null_safe_join
 from siltstone.functions.order import hash60
-from siltstone.session import measured
+from siltstone.session import measured, saved
 
 
 def _share(percent: float) -> tuple[int, int]:
@@ -26,39 +26,48 @@ def sample_random(df: DataFrame, keys: Sequence[str], percent: float, seed: int
     return df.where(hash60(keys, seed) % whole < part)
 
 
+# A range of hashes with at most so many rows of a date is ranked row by row.
+RANKED = 100_000
+_DIGIT = 12  # bits by which a range is refined at a time
+
+
 def sample_by_date(
-    df: DataFrame, date: str, keys: Sequence[str], percent: float, grain: str = "day", seed: int = 0,
-    bucket_bits: int = 12,
+    df: DataFrame, date: str, keys: Sequence[str], percent: float, grain: str = "day", seed: int = 0, ranked: int = RANKED
 ) -> DataFrame:
     """``percent`` of the rows of every date (rounded up), so the date distribution is kept.
 
-    Within a date the rows with the smallest key hashes are taken; rows of one key stay
-    together.  The limit per date comes from counts per hash bucket, refined inside the one
-    bucket the limit falls into, so no task ever ranks the rows of a whole date, and the table
-    itself is not shuffled.
+    Within a date the rows with the smallest key hashes are taken; rows of one key stay together.  The limit of a
+    date is found by radix selection: rows are counted per range of hashes, the range that the limit falls into is
+    refined by further bits, and so on until it has at most ``ranked`` rows or is a single hash.  How deep that goes
+    follows from the counts.  So no task ever ranks the rows of a whole date, and the table itself is not shuffled.
     """
     rows = df.withColumns({"_date": F.date_trunc(grain, date), "_hash": hash60(keys, seed)})
-    rows = rows.withColumn("_bucket", F.shiftright("_hash", 60 - bucket_bits))
+    narrow = rows.select("_date", "_hash")
+    part, whole = _share(percent)
 
-    def reach(counts: DataFrame, unit: str, need: Column) -> DataFrame:
-        """Per date the ``unit`` value at which the running count reaches ``need``."""
-        running = Window.partitionBy("_date").orderBy(unit)
-        return counts.withColumn("_upto", F.sum("count").over(running)).where(
-            (F.col("_upto") - F.col("count") < need) & (need <= F.col("_upto"))
-        )
+    def reach(counts: DataFrame) -> DataFrame:
+        """Per date the range at which the running count reaches what is needed, and what is needed inside it."""
+        running = Window.partitionBy("_date").orderBy("_range")
+        counts = counts.withColumn("_upto", F.sum("count").over(running))
+        within = counts.where((F.col("_upto") - F.col("count") < F.col("_need")) & (F.col("_need") <= F.col("_upto")))
+        return within.select("_date", "_range", (F.col("_need") - (F.col("_upto") - F.col("count"))).alias("_need"), "count")
 
-    per_bucket = rows.groupBy("_date", "_bucket").count()
+    shift = 60 - _DIGIT
+    counts = narrow.groupBy("_date", F.shiftright("_hash", shift).alias("_range")).count()
     total = F.sum("count").over(Window.partitionBy("_date"))
     # Integer arithmetic: ceil(total * percent / 100) without rounding surprises.
-    part, whole = _share(percent)
-    wanted = F.floor((total * part + whole - 1) / whole).cast("bigint")
-    edge = reach(per_bucket.withColumn("_want", wanted), "_bucket", F.col("_want")).select(
-        "_date", "_bucket", (F.col("_want") - (F.col("_upto") - F.col("count"))).alias("_need")
-    )
-    narrow = rows.select("_date", "_bucket", "_hash")
-    inside = null_safe_join(narrow, measured(edge), ["_date", "_bucket"], "inner")
-    per_hash = inside.groupBy("_date", "_need", "_hash").count()
-    limit = reach(per_hash, "_hash", F.col("_need")).select("_date", F.col("_hash").alias("_limit"))
+    counts = counts.withColumn("_need", F.floor((total * part + whole - 1) / whole).cast("bigint"))
+    while True:
+        edge = saved(reach(counts))
+        most = edge.agg(F.max("count")).first()[0] or 0
+        if not shift:
+            break
+        own = null_safe_join(
+            narrow.withColumn("_range", F.shiftright("_hash", shift)), measured(edge).drop("count"), ["_date", "_range"], "inner"
+        )
+        shift = max(0, shift - _DIGIT) if most > ranked else 0
+        counts = own.groupBy("_date", "_need", F.shiftright("_hash", shift).alias("_range")).count()
+    limit = edge.select("_date", F.col("_range").alias("_limit"))
     return null_safe_join(rows, measured(limit), ["_date"], "inner").where("_hash <= _limit").select(*df.columns)
 
 

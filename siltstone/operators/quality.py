@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import holds
+from siltstone.sources.store import LoadStore, observed
 
 
 def expect(df: DataFrame, rules: dict[str, str], on_fail: str = "drop") -> DataFrame:
@@ -47,6 +48,25 @@ def failures(rules: dict[str, str]) -> dict[str, Column]:
     return {f"failed_{name}": F.count_if(~holds(p)) for name, p in rules.items()}
 
 
+REJECTED, FAILED = "_rejected", "_failed"
+
+
+def divide(df: DataFrame, rules: dict[str, str], store: LoadStore, table: str, load_id: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` that keep every rule, and the others with the names of the rules they break (``_failed``).
+
+    Both are written in one pass, as one load of ``table`` with a folder for each, together with exact counts in the
+    ledger: rows that fail each rule, and rejected rows.  Running the same load again only reads it.
+    """
+    if not store.committed(table, load_id):
+        marked = expect(df, rules, "keep").withColumn(REJECTED, F.size(FAILED) > 0)
+        marked, seen = observed(marked, {**failures(rules), "rejected": F.count_if(REJECTED)})
+        # No shuffle before the write, so that the counts stay exact when tasks run again.
+        store.put(marked, table, load_id, partition_by=[REJECTED], counts=seen)
+    loads = store.load(table, load_id)
+    good = store.read(table, loads, where=f"NOT {REJECTED}").drop(REJECTED, FAILED)
+    return good, store.read(table, loads, where=REJECTED).drop(REJECTED)
+
+
 def in_set(column: str, values: list[str]) -> str:
     """A rule text: the column holds one of ``values``."""
     listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)

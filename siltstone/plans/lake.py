@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.operators.conform import clean
-from siltstone.operators.quality import expect, failures
+from siltstone.operators.quality import REJECTED, divide, expect, failures
 from siltstone.plans.catalog import MARTS
 from siltstone.plans.marts import MartSpec, build_all, inputs
 from siltstone.schemas import INGESTED_AT, LOADS, SPECS, LoadSpec, TableSpec
@@ -67,7 +67,23 @@ class Lake:
         finish(*queries)
 
     def _apply(self, spec: TableSpec):
-        return lambda rows, batch_id, _: self.targets[spec.name].apply(rows, batch_id)
+        """Rows that break a rule are put aside before any version is opened."""
+        target = self.targets[spec.name]
+
+        def handle(rows: DataFrame, batch_id: int, _: bool) -> None:
+            if spec.rules:
+                rows, _bad = divide(rows, spec.rules, self.tracked, self._aside(spec.name), f"b{batch_id:09d}")
+            target.apply(rows, batch_id)
+
+        return handle
+
+    @staticmethod
+    def _aside(table: str) -> str:
+        return f"{table}_checked"
+
+    def rejects(self, table: str) -> DataFrame:
+        """The rows of a tracked table that opened no version, with the rules they broke."""
+        return self.tracked.read(self._aside(table), where=REJECTED).drop(REJECTED)
 
     def _check(self, spec: TableSpec):
         def handle(rows: DataFrame, batch_id: int, replaces: bool) -> None:
@@ -100,15 +116,19 @@ class Lake:
         for store in (self.bronze, self.silver):
             for table in tables:
                 store.vacuum(table, older_than_hours)
-        for table in tables | {t.log for t in self.targets.values()}:
+        for table in tables | {t.log for t in self.targets.values()} | {self._aside(n) for n in self.targets}:
             self.tracked.vacuum(table, older_than_hours)
 
     def refresh(
-        self, source, loads: Iterable[LoadSpec] = LOADS, marts: Iterable[MartSpec] = MARTS, mode: str = "current", **options
+        self, source, loads: Iterable[LoadSpec] = LOADS, marts: Iterable[MartSpec] = MARTS, mode: str = "current",
+        strict: bool = False, cleaned: bool = False, **options,
     ) -> DataFrame:
-        """One run through all layers; returns the load status."""
+        """One run through all layers; returns the load status.
+
+        ``strict`` and ``cleaned`` are those of ``conform``; which columns open versions and which rules hold is
+        said by the specs (``schemas.documented()`` for all that is documented)."""
         status = self.load(source, loads, **options)
-        self.conform()
+        self.conform(strict, cleaned)
         self.track()
         self.build(marts, mode)
         return status

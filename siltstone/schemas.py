@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FIRST_WATERMARK = "1900-01-01"
@@ -177,21 +179,84 @@ DOCUMENTED_TRACKED = {
 
 # Documented rules the pipelines themselves do not apply; the set of statuses is the caller's.
 DOCUMENTED_ITEM_RULES = {"valid_order": "order_id IS NOT NULL", "valid_freight": "freight_value >= 0"}
+DOCUMENTED_ORDER_RULES = {"valid_order": "order_id IS NOT NULL"}
+
+
+def documented(specs: Mapping[str, TableSpec] | None = None, statuses: Sequence[str] = ()) -> dict[str, TableSpec]:
+    """The tables as the documentation describes them: versions by the tracked lists, all documented rules, and orders
+    with a status other than ``statuses`` rejected (if any are given)."""
+    listed = ", ".join("'" + s.replace("'", "''") + "'" for s in statuses)
+    status = {"valid_status": f"order_status IN ({listed})"} if statuses else {}
+    more = {"FactOrder": {**DOCUMENTED_ORDER_RULES, **status}, "FactOrderItem": DOCUMENTED_ITEM_RULES}
+    return {
+        name: replace(spec, tracked=DOCUMENTED_TRACKED.get(name, spec.tracked), rules={**spec.rules, **more.get(name, {})})
+        for name, spec in (SPECS if specs is None else specs).items()
+    }
+
+
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}  # decimal digits that hold any value of the type
+_WIDER = {("float", "double"), ("date", "timestamp_ntz")} | {(i, f) for i, f in (("tinyint", "float"), ("smallint", "float"), ("int", "double"))}
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that keeps every value of both: the larger whole number, a decimal with the digits of
+    both sides, text where nothing else does."""
+    names = a.simpleString(), b.simpleString()
+    if names[0] == names[1]:
+        return a
+    if all(n in _DIGITS for n in names):
+        return max(a, b, key=lambda t: _DIGITS[t.simpleString()])
+    sizes = [
+        (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_DIGITS[n], 0) if n in _DIGITS else None
+        for t, n in zip((a, b), names)
+    ]
+    if all(sizes):
+        whole, scale = (max(s[i] for s in sizes) for i in (0, 1))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    for first, second, given in ((*names, b), (*reversed(names), a)):
+        if (first, second) in _WIDER or (first in ("tinyint", "smallint") and second == "double"):
+            return given
+    return T.StringType()
 
 
 def evolve(known: T.StructType | None, seen: T.StructType) -> T.StructType:
-    """``known`` plus the columns only ``seen`` has, all nullable; a changed type is an error."""
+    """``known`` plus the columns only ``seen`` has, all nullable; a column that changed gets the wider type."""
     fields = {f.name: T.StructField(f.name, f.dataType, True) for f in (known.fields if known else [])}
     for f in seen.fields:
-        if f.name in fields and fields[f.name].dataType != f.dataType:
-            raise ValueError(
-                f"column {f.name} changed from {fields[f.name].dataType.simpleString()} "
-                f"to {f.dataType.simpleString()}"
-            )
-        fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+        kind = wider(fields[f.name].dataType, f.dataType) if f.name in fields else f.dataType
+        fields[f.name] = T.StructField(f.name, kind, True)
     return T.StructType(list(fields.values()))
 
 
+def widened(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of ``schema``, an ``evolve`` of its own."""
+
+    def column(f: T.StructField):
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        own = df.schema[f.name].dataType
+        if own.simpleString() == f.dataType.simpleString():
+            return F.col(f.name)
+        if isinstance(own, (T.StructType, T.ArrayType, T.MapType)):
+            return F.to_json(f.name).alias(f.name)
+        return instant_text(F.col(f.name), own).cast(f.dataType).alias(f.name)
+
+    return df.select(*[column(f) for f in schema.fields])
+
+
+def instant_text(col: Column, kind: T.DataType) -> Column:
+    """An instant as text in UTC with its zone, which reads back the same in every session; others as they are."""
+    if not isinstance(kind, T.TimestampType):
+        return col
+    since = F.make_dt_interval(secs=(F.unix_micros(col) / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return F.concat((F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).cast("string"), F.lit("Z"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
@@ -203,12 +268,7 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 def schema_of(spark: SparkSession, data: str, saved: str) -> T.StructType:
     """Schema of the Parquet files under ``data``, inferred once, kept at ``saved``, widened later."""
     seen = spark.read.option("mergeSchema", "true").parquet(data).schema
-    try:
-        known = load_schema(spark, saved)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        known = None
+    known = load_schema(spark, saved) if exists(spark, saved) else None
     merged = evolve(known, seen)
     if merged != known:
         save_schema(spark, merged, saved)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions.columns import require
 from siltstone.operators.cluster import by_folder
-from siltstone.schemas import FIRST_WATERMARK, LoadSpec
+from siltstone.schemas import FIRST_WATERMARK, LoadSpec, instant_text
 from siltstone.session import control_rows
 from siltstone.sources.store import LoadStore, instant
 
@@ -37,10 +37,7 @@ def _dated(kind: T.DataType) -> bool:
 def mark_text(col: Column, kind: T.DataType) -> Column:
     """A value as text that reads back the same in every session: an instant is written in UTC, with its zone,
     so the hour that a zone's clocks repeat stays two hours."""
-    if isinstance(kind, T.TimestampType):
-        since = F.make_dt_interval(secs=(F.unix_micros(col) / F.lit(1_000_000)).cast("decimal(18,6)"))
-        return F.concat((F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).cast("string"), F.lit("Z"))
-    return col.cast("string")
+    return instant_text(col, kind).cast("string")
 
 
 def extract(

@@ -12,12 +12,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.schemas import FIRST_WATERMARK, evolve
+from siltstone.schemas import FIRST_WATERMARK, evolve, exists, widened
 from siltstone.session import control_rows
 
 LEDGER = T.StructType(
@@ -103,12 +104,10 @@ class LoadStore:
     # -- reading ---------------------------------------------------------------------------
 
     def ledger(self, table: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER).parquet(self.ledger_path(table))
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        path = self.ledger_path(table)
+        if not exists(self.spark, path):
             return control_rows(self.spark, [], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(path)
 
     def watermark(self, table: str) -> DataFrame:
         """One row: the table's committed high-water mark, or the first one before any load."""
@@ -142,23 +141,30 @@ class LoadStore:
         return bool(self.load(table, load_id))
 
     def read(self, table: str, loads: Sequence | None = None, where: str | None = None) -> DataFrame:
-        """The rows of the visible (or the given) loads.  Columns that some loads lack are NULL.
+        """The rows of the visible (or the given) loads.  Columns that some loads lack are NULL; a column whose type
+        changed has the narrowest type that keeps all its values, text if need be.
 
         ``where`` may name partition columns only; it prunes folders before any file is opened.
         """
         loads = self.visible(table) if loads is None else list(loads)
         if not loads:
             raise LookupError(f"{table}: no committed load under {self.root}")
-        schema = None
-        for load in loads:
-            schema = evolve(schema, T.StructType.fromJson(json.loads(load.schema)))
-        paths = [self.data(table, load.load_id) for load in loads if load.rows]
-        if not paths:
-            return control_rows(self.spark, [], schema)
-        df = self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths)
-        if where:
-            df = df.where(where)
-        return df.select(*schema.fieldNames())
+        own = [T.StructType.fromJson(json.loads(load.schema)) for load in loads]
+        merged = reduce(evolve, own, None)
+        # Loads that fit the merged types are read together, others by the types they were written in.
+        kinds: dict[str, tuple[T.StructType, list[str]]] = {}
+        for load, schema in zip(loads, own):
+            fits = all(merged[f.name].dataType.simpleString() == f.dataType.simpleString() for f in schema.fields)
+            given = merged if fits else schema
+            if load.rows:
+                kinds.setdefault(given.json(), (given, []))[1].append(self.data(table, load.load_id))
+        if not kinds:
+            return control_rows(self.spark, [], merged)
+        parts = []
+        for schema, paths in kinds.values():
+            df = self.spark.read.schema(schema).option("basePath", self.data(table)).parquet(*paths)
+            parts.append(widened(df.where(where) if where else df, merged))
+        return reduce(DataFrame.unionByName, parts)
 
     def register(self, table: str, name: str) -> None:
         """(Re)points a catalog table at the newest full load of ``table``."""

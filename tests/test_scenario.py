@@ -4,7 +4,7 @@ from siltstone.operators.history import END, current
 from siltstone.plans import catalog
 from siltstone.plans.lake import Lake
 from siltstone.plans.marts import build
-from siltstone.schemas import LOADS
+from siltstone.schemas import LOADS, documented
 from siltstone.sources.readers import FrameSource
 
 CONFIG = [l for l in LOADS if l.table in ("DimCustomer", "DimProduct", "FactOrder", "FactOrderItem")]
@@ -87,3 +87,28 @@ def test_refresh_publishes_the_marts(spark, tmp_path):
     assert lake.gold.read("fact_sales_summary").count() == 4
     lake.refresh(source(spark, 2), CONFIG)
     assert lake.gold.read("fact_sales_summary").count() == 4
+
+
+def test_documented_rules_and_lists_in_a_full_run(spark, tmp_path):
+    """A bad order opens no version and is kept aside with its rule; cleaning and tracked lists are applied."""
+    lake = Lake(spark, str(tmp_path), documented(statuses=["processing", "delivered", "created"]), buckets=2)
+
+    def with_odd_rows(step):
+        given = source(spark, step).tables
+        odd = [("o7", "c1", "lost", "2024-01-03 08:00:00", "2024-01-03 09:00:00", "1.00"), ("o8", "c1", None, "2024-01-03 08:00:00", "2024-01-03 09:00:00", "1.00")]
+        if step == 2:
+            odd.append(("o1", "c1", "???", "2024-01-02 08:00:00", "2024-03-02 09:00:00", "30.00"))
+        orders = given["FactOrder"].unionByName(spark.createDataFrame(odd, given["FactOrder"].schema))
+        city = given["DimCustomer"].selectExpr("customer_id", "concat('u', cast(rand(%d) as string)) customer_unique_id" % step, "customer_zip_code_prefix", "concat('  ', customer_city, ' ') customer_city", "lower(customer_state) customer_state", "updated_at")
+        return FrameSource({**given, "FactOrder": orders, "DimCustomer": city})
+
+    for step in (1, 2):
+        lake.refresh(with_odd_rows(step), CONFIG, cleaned=True, parallel=4)
+    orders = lake.targets["FactOrder"].table()
+    assert {(r.order_id, r.order_status) for r in orders.collect()} == {("o1", "processing"), ("o1", "delivered"), ("o2", "processing"), ("o3", "processing")}
+    assert sorted((r.order_id, r["_failed"]) for r in lake.rejects("FactOrder").collect()) == [(o, ["valid_status"]) for o in ("o1", "o7", "o8")]
+    counts = [load.counts for load in lake.tracked.visible("FactOrder_checked")]
+    assert [(c["rejected"], c["failed_valid_status"], c["failed_valid_order"]) for c in counts] == [(2, 2, 0), (1, 1, 0)]
+    # customer_unique_id is not on the list: a new one alone opens no version.
+    people = lake.targets["DimCustomer"].table().collect()
+    assert sorted((r.customer_id, r.customer_city, r.customer_state) for r in people) == [("c1", "niteroi", "RJ"), ("c1", "rio", "RJ"), ("c2", "natal", "RN")]

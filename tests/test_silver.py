@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import feed, prepare, quality
 from siltstone.operators.conform import clean, conform, conversion_losses, latest
-from siltstone.schemas import DIM_CUSTOMER, FACT_ORDER, FACT_ORDER_ITEM, INGESTED_AT
+from siltstone.schemas import DIM_CUSTOMER, FACT_ORDER, FACT_ORDER_ITEM, INGESTED_AT, TableSpec
 
 
 def raw_items(spark, *rows):
@@ -128,8 +128,8 @@ def test_sample_by_date_takes_a_share_of_every_date(spark):
         "id", F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.concat(F.lit("2024-02-0"), F.col("id") % 9 + 1)).cast("date").alias("d")
     )
     total = {r.d: r["count"] for r in df.groupBy("d").count().collect()}
-    for bits in (0, 4, 12):
-        sample = prepare.sample_by_date(df, "d", ["id"], 7, bucket_bits=bits)
+    for ranked in (1, 3, 10**6):
+        sample = prepare.sample_by_date(df, "d", ["id"], 7, ranked=ranked)
         got = {r.d: r["count"] for r in sample.groupBy("d").count().collect()}
         assert got == {d: -(-n * 7 // 100) for d, n in total.items()}
     again = prepare.sample_by_date(df.repartition(3), "d", ["id"], 7)
@@ -142,6 +142,27 @@ def test_sample_keeps_copies_together_and_null_dates(spark):
     assert [r["count"] for r in counts] == [10, 10]
 
 
+def test_a_date_with_nearly_all_rows_is_refined_until_few_are_left(spark, monkeypatch):
+    """Ranges are refined as deep as their counts ask for, and what is ranked in the end is small."""
+    df = spark.range(40_000).withColumn("d", F.when(F.col("id") < 39_990, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("date"))
+    ranged = []
+    real = prepare.measured
+    monkeypatch.setattr(prepare, "measured", lambda rows: ranged.append(rows.agg(F.max("count")).first()[0] if "count" in rows.columns else None) or real(rows))
+    sample = prepare.sample_by_date(df, "d", ["id"], 13, ranked=4)
+    assert {str(r.d): r["count"] for r in sample.groupBy("d").count().collect()} == {"2024-01-01": 5199, "2024-01-02": 2}
+    # Every round but the last names the rows of the range that is looked into next.
+    assert ranged[0] > 4 and ranged[-2] <= 4 and ranged[-1] is None
+    whole = prepare.sample_by_date(df, "d", ["id"], 13)
+    assert whole.exceptAll(sample).count() == 0 == sample.exceptAll(whole).count()
+
+
+def test_what_does_not_fit_is_kept_beside(spark):
+    spec = TableSpec("t", {"k": None, "n": "int", "day": "timestamp", "gone": "int"}, keys=("k",))
+    df = spark.createDataFrame([(1, "7", "2024-01-01"), (2, "7b", "soon"), (3, None, None)], "k int, n string, day string")
+    got = {r.k: (r.n, r._rescued) for r in conform(df, spec, stamp=False, rescue=True).collect()}
+    assert got == {1: (7, {}), 2: (None, {"n": "7b", "day": "soon"}), 3: (None, {})}
+
+
 def test_random_sample_is_repeatable(spark):
     df = spark.range(10000)
     one, two = (prepare.sample_random(df, ["id"], 5).collect() for _ in range(2))

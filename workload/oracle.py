@@ -294,6 +294,26 @@ ORACLE: dict[str, str] = {
     "quality_items": with_views(
         f"SELECT * FROM doubtful WHERE {' AND '.join(_RULES.values())}", "fact_order_item", doubtful=_DOUBTFUL
     ),
+    "quality_orders": with_views(
+        """
+        SELECT customer_id, order_status, order_purchase_timestamp, payment_type,
+               valid_from AS "__START_AT", valid_to AS "__END_AT"
+        FROM versions""",
+        **{
+            **_ORDER_STEPS,
+            "ranked": """
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS copy
+        FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderkey % 11 <> 0
+                      AND CAST(o_totalprice AS DECIMAL(10,2)) >= 1000""",
+        },
+    ),
+    "quality_rejects": """
+        SELECT order_id, customer_id, order_status, failed FROM (
+            SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status,
+                   CONCAT_WS(',', CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'valid_status' END,
+                       CASE WHEN o_orderkey % 11 = 0 OR CAST(o_totalprice AS DECIMAL(10,2)) < 1000 THEN 'valid_value' END) AS failed
+            FROM orders) r
+        WHERE failed <> ''""",
     "quality_counts": with_views(
         " UNION ALL ".join(
             f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE {p}) AS passed, "
@@ -327,6 +347,14 @@ ORACLE: dict[str, str] = {
     ),
     "schema_evolution": "SELECT * REPLACE (CASE WHEN o_orderdate > "
     f"TIMESTAMP '{WATERMARK}' THEN o_orderpriority END AS o_orderpriority) FROM orders",
+    "schema_widening": f"""
+        SELECT o_orderkey AS order_id,
+               CASE WHEN NOT (later AND o_orderstatus = 'P') THEN CAST(o_custkey AS INTEGER) END AS code,
+               CASE WHEN later THEN CAST(CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * 10000 AS BIGINT) AS VARCHAR) || '.125' AS VARCHAR)
+                    ELSE CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) || '0' END AS amount,
+               CASE WHEN later THEN o_orderdate ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS day,
+               CASE WHEN later AND o_orderstatus = 'P' THEN 'C' || o_custkey END AS _rescued
+        FROM (SELECT *, o_orderdate > TIMESTAMP '{WATERMARK}' AS later FROM orders) o""",
     "stream_append_orders": _SILVER_ORDERS,
     "stream_append_items": with_views(
         "SELECT * FROM fact_order_item WHERE order_item_id IS NOT NULL AND price >= 0", "fact_order_item"

@@ -264,6 +264,35 @@ def quality_counts(spark: SparkSession, sf: str) -> DataFrame:
     return quality.counts(_doubtful_items(spark, sf), rules)
 
 
+ORDER_RULES = {
+    "valid_order": "order_id IS NOT NULL",
+    "valid_status": quality.in_set("order_status", ["F", "O"]),
+    "valid_value": "total_payment_value >= 1000",
+}
+
+
+def _divided_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, some without a known value, divided by their rules."""
+    orders = views.fact_order(spark, sf)
+    known = F.when(F.col("order_id") % 11 != 0, F.col("total_payment_value")).alias("total_payment_value")
+    rows = orders.select(*[c for c in orders.columns if c not in ("total_payment_value", "order_approved_at")], known)
+    return quality.divide(rows, ORDER_RULES, LoadStore(spark, workspace(spark, "checked")), "FactOrder", "b0")
+
+
+def quality_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The history of customers from the orders that keep all rules."""
+    good, _ = _divided_orders(spark, sf)
+    return history.scd2(
+        good, ["customer_id"], "order_purchase_timestamp", ["order_id"], except_columns=["order_id", "total_payment_value"]
+    )
+
+
+def quality_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The other orders, with the rules they break."""
+    _, bad = _divided_orders(spark, sf)
+    return bad.select("order_id", "customer_id", "order_status", F.array_join("_failed", ",").alias("failed"))
+
+
 # -- bronze --------------------------------------------------------------------------------
 
 
@@ -372,6 +401,32 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("orders")
 
 
+def schema_widening(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads, the second with more digits and with text where numbers were; silver keeps numbers, and beside
+    them what is none."""
+    store, orders = _bronze(spark), views.table(spark, sf, "orders")
+    first = F.col("o_orderdate") <= F.lit(WATERMARK).cast("timestamp_ntz")
+    code = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("C"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    store.put(
+        orders.where(first).select(
+            F.col("o_orderkey").cast("int").alias("order_id"), F.col("o_custkey").cast("int").alias("code"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("amount"), F.col("o_orderdate").cast("date").alias("day"),
+        ),
+        "orders",
+    )
+    store.put(
+        orders.where(~first).select(
+            F.col("o_orderkey").alias("order_id"), code.alias("code"),
+            (F.col("o_totalprice").cast("decimal(12,2)") * F.lit(10000).cast("decimal(5,0)") + F.lit("0.125").cast("decimal(4,3)")).cast("decimal(20,3)").alias("amount"),
+            F.col("o_orderdate").alias("day"),
+        ),
+        "orders",
+    )
+    spec = schemas.TableSpec("orders", {"order_id": None, "code": "int", "amount": None, "day": None}, keys=("order_id",))
+    silver = conform.conform(store.read("orders"), spec, stamp=False, rescue=True)
+    return silver.withColumns({"amount": F.col("amount").cast("string"), conform.RESCUED: F.col(conform.RESCUED)["code"]})
+
+
 # -- streams -------------------------------------------------------------------------------
 
 
@@ -562,6 +617,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_rows": clean_rows,
     "quality_items": quality_items,
     "quality_counts": quality_counts,
+    "quality_orders": quality_orders,
+    "quality_rejects": quality_rejects,
     "ingest_full": ingest_full,
     "extract_incremental": extract_incremental,
     "ingest_incremental": ingest_incremental,
@@ -572,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "watermark_bigint": watermark_bigint,
     "ingest_all_status": ingest_all_status,
     "schema_evolution": schema_evolution,
+    "schema_widening": schema_widening,
     "stream_append_orders": stream_append_orders,
     "stream_append_items": stream_append_items,
     "stream_loads_orders": stream_loads_orders,
