@@ -39,11 +39,12 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], floor: int = SPLIT_FLOOR) ->
     # The row count travels as an item without a key.
     total = F.struct(F.lit(None).cast("bigint").alias("item"), F.col("n").alias("count"))
     items = groups.select(F.inline(F.array_append("top", total))).groupBy("item").agg(F.sum("count").alias("n"))
-    items = saved(items.where(F.col("item").isNull() | (F.col("n") > floor)))
-    share = max(floor, math.ceil((items.where("item IS NULL").agg(F.sum("n")).first()[0] or 0) / k))
-    found = items.where("item IS NOT NULL").where(F.col("n") > share).select(F.col("item").alias("h"), "n")
-    held = found.agg(F.sum("n")).first()[0] or 0
-    return (found if held else None), share, held
+    total, most = items.agg(F.sum(F.when(F.col("item").isNull(), F.col("n"))), F.max(F.when(F.col("item").isNotNull(), F.col("n")))).first()
+    share = max(floor, math.ceil((total or 0) / k))
+    if (most or 0) <= share:
+        return None, share, 0
+    found = saved(items.where("item IS NOT NULL").where(F.col("n") > share).select(F.col("item").alias("h"), "n"))
+    return found, share, found.agg(F.sum("n")).first()[0]
 
 
 def _having(df: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str) -> DataFrame:

@@ -45,12 +45,12 @@ def workspace(spark: SparkSession, purpose: str) -> str:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that later steps start from there even
-    when executors are lost."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(workspace(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    """``df`` written to the shared folder and read again, so that later steps start from there even
+    when executors are lost, and know its size.  It is computed once; a checkpoint would compute it twice."""
+    path = workspace(df.sparkSession, "steps")
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    plain.write.parquet(path)
+    return df.sparkSession.read.schema(plain.schema).parquet(path).toDF(*df.columns)
 
 
 # Rows of a few fixed-width columns: some tens of MB in memory.

@@ -89,8 +89,8 @@ class ChangeTarget:
         else:
             if not self.store.committed(self.log, load_id):
                 self.store.put(by_folder(self._fresh(rows, loads), [BUCKET]), self.log, load_id, partition_by=[BUCKET])
-            batch = self.store.read(self.log, self.store.load(self.log, load_id))
-            out, late = self._changed(batch, loads, batch_id)
+            [load] = self.store.load(self.log, load_id)
+            out, late = self._changed(load, loads, batch_id) if load.rows else (None, 0)
             folders = [OPEN, BUCKET]
         if out is not None:
             facts = self.store.write(by_folder(out, folders), self.name, load_id, partition_by=folders)
@@ -158,29 +158,31 @@ class ChangeTarget:
         kept = latest(marked.drop(*[c for c in unused if c not in self.keys]), self._key, ties, ignored=[BATCH], last=[KNOWN])
         return kept.where(~F.col(KNOWN)).drop(KNOWN)
 
-    def _changed(self, batch: DataFrame, loads: list, batch_id: int) -> tuple[DataFrame | None, int]:
-        """Rows to append for a batch of new changes, and the number of keys that had to be rebuilt."""
-        touched = _numbers(batch)
-        if not touched:
-            return None, 0
+    def _changed(self, load, loads: list, batch_id: int) -> tuple[DataFrame, int]:
+        """Rows to append for a logged batch of new changes, and the number of keys that had to be rebuilt."""
+        batch = self.store.read(self.log, [load])
         events, late = self._events(batch), 0
         stamp = {BATCH: F.lit(batch_id).cast("bigint"), LOST: F.lit(False)}
+        # With the open versions, a batch has at most twice its rows.
+        floor = self.split_floor if self.split_floor is not None and 2 * load.rows > self.split_floor else None
         if not loads:
-            return self._versions(events).withColumns(stamp), 0
+            return self._versions(events, floor).withColumns(stamp), 0
+        touched = _folders(batch)
         opened = self._opened(loads, f"{OPEN} AND {_among(touched)}")
         asked = batch.groupBy(*self._key).agg(F.min(self.sequence).alias("_first"), F.max(F.col(self.sequence).isNull()).alias("_unordered"))
         opened = saved(null_safe_join(opened, asked, self._key, "inner"))
         behind = (F.col("_first") <= F.col(SEEN)) | F.col("_unordered")
         rebuilt_keys = opened.where(behind).select(*self._key)
-        late = rebuilt_keys.count()
+        behind_in = _numbers(rebuilt_keys)
+        late = rebuilt_keys.count() if behind_in else 0
         openers = opened.where(F.coalesce(~behind, F.lit(True))) if late else opened
         openers = openers.withColumnRenamed(DELETED, GONE).drop(START, END, OPEN, BATCH, LOST, "_first", "_unordered")
         ready = null_safe_join(events, rebuilt_keys, self._key, "left_anti") if late else events
-        out = self._versions(ready.unionByName(openers, allowMissingColumns=True)).withColumns(stamp)
+        out = self._versions(ready.unionByName(openers, allowMissingColumns=True), floor).withColumns(stamp)
         if late:
-            where = _among(_numbers(rebuilt_keys))
+            where = _among(behind_in)
             log = null_safe_join(self.store.read(self.log, where=where), rebuilt_keys, self._key, "left_semi")
-            rebuilt = saved(self._versions(self._events(log)).withColumns(stamp))
+            rebuilt = saved(self._versions(self._events(log), self.split_floor).withColumns(stamp))
             before = null_safe_join(self._closed(loads, f"NOT {OPEN} AND {where}"), rebuilt_keys, self._key, "left_semi")
             again = rebuilt.where(~F.col(OPEN)).select(*self._key, START)
             lost = null_safe_join(before, again, [*self._key, START], "left_anti").withColumns({**stamp, LOST: F.lit(True)})
@@ -193,14 +195,14 @@ class ChangeTarget:
     def _events(self, rows: DataFrame) -> DataFrame:
         return rows.withColumns({GONE: self._gone(), SEEN: F.col(self.sequence)})
 
-    def _versions(self, events: DataFrame) -> DataFrame:
+    def _versions(self, events: DataFrame, split_floor: int | None) -> DataFrame:
         """History rows of ``events``.  The last sequence value seen rides along as a column that
         opens no version; so the open version carries the last one of its key."""
         hidden = {*self.keys, self.sequence, *self.except_columns, BUCKET, SEEN, GONE}
         tracked = self.tracked if self.tracked is not None else [c for c in events.columns if c not in hidden]
         out = scd2(
             events, self._key, self.sequence, self.ties, deletes=F.col(GONE),
-            except_columns=[GONE, *self.except_columns], tracked=tracked, keep_deletes=True, split_floor=self.split_floor,
+            except_columns=[GONE, *self.except_columns], tracked=tracked, keep_deletes=True, split_floor=split_floor,
         )
         return out.withColumn(OPEN, F.col(END).isNull())
 
@@ -280,5 +282,10 @@ def _numbers(rows: DataFrame) -> list[int]:
     return sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
 
 
+def _folders(rows: DataFrame) -> list[int]:
+    """The bucket numbers of a stored load, from the names of its folders."""
+    return sorted({int(path.split(f"{BUCKET}=")[1].split("/")[0]) for path in rows.inputFiles()})
+
+
 def _among(numbers: list[int]) -> str:
     return f"{BUCKET} IN ({', '.join(map(str, numbers))})"
