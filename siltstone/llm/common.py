@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.session import workspace
 
 # A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-NO_ID = -(2**63)
+# Stands for a null id in keys, so that such rows come last.
+NO_ID = 2**63 - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,27 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def key_columns(df: DataFrame, id_col: str, text_col: str) -> tuple:
+    """The key of ``keyed`` as expressions over ``df``."""
+    return F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(df[text_col], F.lit("")))
+
+
+def one_of_each(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``df`` with one row of those that repeat an id (or have none) and a text with words: the first by its values.
+
+    Only rows that repeat meet in a shuffle, and at most one of each task does."""
+    one, two = key_columns(df, id_col, text_col)
+    tagged = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), one.alias("_k1"), two.alias("_k2"), df[text_col].rlike(WORD).alias("_words"))
+    many = tagged.where("_words").groupBy("_k1", "_k2").count().where("count > 1").select("_k1", "_k2")
+    many = stored(many, "repeated")
+    if many.isEmpty():
+        return df
+    on = ["_k1", "_k2"]
+    first = Window.partitionBy(*on).orderBy(F.to_json("_row"))
+    again = tagged.join(many, on, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return tagged.join(many, on, "left_anti").select("_row.*").unionByName(again.select("_row.*"))
+
+
 # -- hashes of word runs ------------------------------------------------------------------
 
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import components, keyed, mixed, run_hashes, stored, table, word_hashes
+from siltstone.llm.common import components, key_columns, keyed, mixed, one_of_each, run_hashes, stored, table, word_hashes
 
 WORDS, PERCENT = 5, 80
 # The table of shingle counts has this many cells, whatever the size of the corpus (4 MB), and is
@@ -354,13 +354,14 @@ def _grouped_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``df``, all their columns, of one document per component: the one with the smallest id
-    (null first), then text hash.  Texts without words all stay.  Rows that repeat id and text stay together."""
+    (null last), then text hash; of rows that repeat its id and text one stays.  Texts without words all stay; empty gives empty;
+    very long texts are compared whole."""
     rows = _grouped_rows(keyed(df, id_col, text_col), words, percent)
     best = rows.where("_n > 0").groupBy("_c").agg(F.min(F.struct("_k1", "_k2")).alias("_best"))
     gone = rows.where("_n > 0").join(best, "_c").where(F.struct("_k1", "_k2") != F.col("_best")).select("_k1", "_k2").distinct()
     gone = _small(stored(gone, "copies").toDF("_key_one", "_key_two"))
-    one, two = F.coalesce(df[id_col].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(df[text_col], F.lit("")))
-    return df.join(gone, (one == gone["_key_one"]) & (two == gone["_key_two"]), "left_anti")
+    one, two = key_columns(df, id_col, text_col)
+    return one_of_each(df.join(gone, (one == gone["_key_one"]) & (two == gone["_key_two"]), "left_anti"), id_col, text_col)
 
 
 def jaccard_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import keyed, stored, table
+from siltstone.llm.common import key_columns, keyed, stored, table
 
 SEED = 3  # words in a seed
 RARE = 1e-8  # a seed is rare if the product of its words' shares of the corpus is at most this
@@ -208,15 +208,10 @@ def clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     hits = _hits(keyed(df, id_col, text_col), benchmark, item_col, item_text_col)
     hits = stored(hits.select("_k1", "_k2").distinct(), "leaks").toDF("_key_one", "_key_two")
     hits = F.broadcast(hits) if hits.count() <= KEYS_BROADCAST else hits
-    own = keyed_columns(df, id_col, text_col)
+    own = key_columns(df, id_col, text_col)
     return df.join(hits, (own[0] == hits["_key_one"]) & (own[1] == hits["_key_two"]), "left_anti")
 
 
-def keyed_columns(df: DataFrame, id_col: str, text_col: str) -> tuple:
-    """The key of ``keyed`` as expressions over ``df``."""
-    return F.coalesce(df[id_col].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(df[text_col], F.lit("")))
-
-
 def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in all documents."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

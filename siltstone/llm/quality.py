@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import table
+from siltstone.llm.common import key_columns, keyed, stored, table
 
 # The bound of the sample of labelled rows that the lexicons and the scorer are fitted on.
 SAMPLE_ROWS = 4000
@@ -407,16 +407,28 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return scored(df, model, id_col, text_col).withColumnRenamed("_id", id_col)
 
 
+# Keys of two numbers: some 25 MB.
+KEYS_BROADCAST = 500_000
+
+
 def kept(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``df``, all their columns, that the classifier keeps; no shuffle."""
-    sent = df.sparkSession.sparkContext.broadcast(train(df, labels, id_col, text_col, sample_rows))
+    """The rows of ``df``, all their columns, that the classifier keeps.
 
-    @F.pandas_udf("boolean")
-    def fine(texts: pd.Series) -> pd.Series:
-        scores = [sent.value.scores(t) for t in texts.fillna("")]
-        return pd.Series([junk < JUNK_AT and toxic < TOXIC_AT for junk, toxic in scores], dtype=bool)
+    Texts are scored by themselves, so that no task holds whole rows beside them; the keys of what goes are then taken
+    out.  Nulls, repeated rows and empty tables as in ``classify``."""
+    sent = df.sparkSession.sparkContext.broadcast(train(df, labels, id_col, text_col, sample_rows))
 
-    return df.where(fine(F.col(text_col)))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = [sent.value.scores(t) for t in batch["_text"]]
+            out = np.array([junk >= JUNK_AT or toxic >= TOXIC_AT for junk, toxic in scores], bool)
+            yield batch.loc[out, ["_k1", "_k2"]]
+
+    gone = keyed(df, id_col, text_col).select("_k1", "_k2", "_text").mapInPandas(run, "_k1 long, _k2 long").distinct()
+    gone = stored(gone, "rejected").toDF("_key_one", "_key_two")
+    gone = F.broadcast(gone) if gone.count() <= KEYS_BROADCAST else gone
+    one, two = key_columns(df, id_col, text_col)
+    return df.join(gone, (one == gone["_key_one"]) & (two == gone["_key_two"]), "left_anti")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,13 @@ def test_signatures_bound_the_overlap():
         a, b = (np.unique(rng.choice(pool, rng.integers(1, 300))) for _ in range(2))
         bound = jaccard.most_overlap(len(a), jaccard.signature(a), len(b), jaccard.signature(b))
         assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+
+
+def test_one_row_of_a_group_of_copies_stays(spark):
+    """Rows that repeat id and text are copies too, and a row without an id never stands for one that has it."""
+    text = "one two three four five six seven"
+    rows = [(None, text, i) for i in range(4)] + [(7, text, i) for i in range(3)] + [(8, text, 0), (9, "", 1), (9, "", 2), (None, "quite another text", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rank int").selectExpr("*", "1 AS _k1", "2 AS _row", "3 AS _words", "4 AS _n")
+    got = jaccard.representatives(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text, r._rank) for r in got.collect()) == [(0, "quite another text", 5), (7, text, 0), (9, "", 1), (9, "", 2)]
