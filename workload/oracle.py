@@ -200,7 +200,7 @@ ORACLE: dict[str, str] = {
         **_ORDER_STEPS,
     ),
     "zorder_preserves_rows": "SELECT * FROM lineitem",
-    "zorder_spread": "SELECT key, TRUE AS fewer, TRUE AS found FROM (VALUES ('customer'), ('price'), ('day')) AS t(key)",
+    "zorder_spread": "SELECT key, TRUE AS fewer, TRUE AS found FROM (VALUES ('customer'), ('price')) AS t(key)",
     "scd2_events": _events(),
     "scd2_orders": _ORDERS_SCD2,
     "scd2_tracked": _events(_EVENT_COLUMNS + ", value"),
