@@ -42,6 +42,7 @@ class Kind:
 
 
 KEEP, CONTEXT = 0.5, 40
+RUN = 256  # matches of one inner fold
 BASE = (
     Kind("email", EMAIL, "@", "", 0.6, "mail|contact|write|address"),
     Kind("ip", IP, r"[0-9]\.[0-9]", "ip", 0.5, "ip|host|server|address"),
@@ -93,22 +94,27 @@ def _confirmed(kind: Kind, match: Column) -> Column:
 
 
 def _spans(text: Column, kind: Kind, order: int) -> Column:
-    """Confirmed matches as an array of structs.  The pieces between the matches give their places:
-    a match begins after all pieces and matches before it."""
-    empty = F.expr("CAST(array() AS array<struct<kind:string,rank:int,start:int,end:int,score:double>>)")
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    pieces = F.split(text, kind.pattern, -1)
-
-    def length(parts: Column) -> Column:
-        return F.aggregate(parts, F.lit(0), lambda s, x: s + F.length(x))
+    """Confirmed matches as an array of structs.
 
-    def placed(match: Column, i: Column) -> Column:
-        start = length(F.slice(pieces, F.lit(1), i + 1)) + F.when(i == 0, 0).otherwise(length(F.slice(matches, F.lit(1), i)))
-        return F.struct(match.alias("match"), start.alias("start"))
+    The pieces between the matches give their places: one fold over pieces and matches carries the place reached and
+    the last ``CONTEXT`` characters, so the work grows with the text, however many matches it has.  The fold goes by runs
+    of ``RUN`` matches, because each span added copies the array it is added to."""
+    empty = F.expr("CAST(array() AS array<struct<kind:string,rank:int,start:int,end:int,score:double>>)")
+    none = F.expr("CAST(array() AS array<struct<match:string,start:int,near:string>>)")
+    parts = F.arrays_zip(F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)))
+    most = F.lit(CONTEXT)
+
+    def step(done: Column, part: Column) -> Column:
+        piece, match = part["0"], part["1"]  # no match after the last piece
+        start = done["at"] + F.length(piece)
+        near = F.right(F.concat(done["near"], F.right(piece, most)), most)
+        found = F.struct(match.alias("match"), start.alias("start"), near.alias("near"))
+        found = F.when(_confirmed(kind, match), F.concat(done["found"], F.array(found))).otherwise(done["found"])
+        after = F.right(F.concat(near, F.right(match, most)), most)
+        return F.when(match.isNull(), done).otherwise(F.struct((start + F.length(match)).alias("at"), after.alias("near"), found.alias("found")))
 
     def scored(m: Column) -> Column:
-        near = F.lower(text.substr(F.greatest(m["start"] - CONTEXT + 1, F.lit(1)), F.least(m["start"], F.lit(CONTEXT))))
-        bonus = F.when(near.rlike(rf"\b({kind.words})"), kind.bonus).otherwise(0.0)
+        bonus = F.when(F.lower(m["near"]).rlike(rf"\b({kind.words})"), kind.bonus).otherwise(0.0)
         return F.struct(
             F.lit(kind.name).alias("kind"),
             F.lit(order).alias("rank"),
@@ -117,7 +123,18 @@ def _spans(text: Column, kind: Kind, order: int) -> Column:
             F.round(F.lit(kind.score) + bonus, 2).alias("score"),
         )
 
-    found = F.filter(F.transform(matches, placed), lambda m: _confirmed(kind, m["match"]))
+    def by_runs(parts: Column) -> Column:
+        def run(done: Column, at: Column) -> Column:
+            begin = F.struct(done["at"].alias("at"), done["near"].alias("near"), none.alias("found"))
+            return F.aggregate(
+                F.slice(parts, at, F.lit(RUN)), begin, step, lambda x: F.struct(x["at"], x["near"], F.concat(done["found"], x["found"]).alias("found"))
+            )
+
+        begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("near"), none.alias("found"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(parts), F.lit(RUN)), begin, run, lambda done: done["found"])
+
+    # As the argument of a function the parts are worked out once, not for each run.
+    found = F.element_at(F.transform(F.array(parts), by_runs), 1)
     kept = F.filter(F.transform(found, scored), lambda s: s["score"] >= KEEP)
     return F.when(text.rlike(kind.hint), kept).otherwise(empty)
 
@@ -126,7 +143,7 @@ def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind
     """One row per row of ``df``: its id and ``spans``, an array of (kind, rank, start, end, score),
     by kind, then start; offsets in code points, end exclusive.
 
-    A null or empty text has no spans.  Repeated rows are answered each.  Columns other than id and
+    A null or empty text has no spans; a very long one is searched whole.  Repeated rows are answered each.  Columns other than id and
     text are left out, so their names can't clash.  An empty table gives an empty result."""
     slim = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     found = slim.select("_id", *[_spans(F.col("_text"), k, i).alias(f"_k{i}") for i, k in enumerate(kinds)])

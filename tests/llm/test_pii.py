@@ -54,6 +54,19 @@ def test_spans_match_plain_search(spark):
         assert found[i] == ",".join(brute(text)), i
 
 
+def test_very_many_matches_in_one_text(spark):
+    text = "é " + " ".join(f"name{i}@host{i}.org and 10.0.{i % 300}.7," for i in range(20_000))
+    got = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), kinds=pii.BASE)
+    assert got.select(pii.as_text(pii.F.col("spans")).alias("t")).first()["t"] == ",".join(brute(text))
+
+
+def test_context_goes_past_other_matches(spark):
+    """The word before the first address still stands within reach of the second."""
+    rows = [(1, "mail a@b.cd e@f.gh"), (2, "mail " + "x" * 40 + " a@b.cd")]
+    got = {r["doc_id"]: [s["score"] for s in r["spans"]] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [0.9, 0.9], 2: [0.6]}
+
+
 def test_query_matches_plain_search(spark, sf):
     given = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     found = {r["doc_id"]: r for r in pii.op3_pii(spark, sf).collect()}
