@@ -13,8 +13,11 @@ from siltstone.llm.common import WORD, stored, table
 WEIGHTS = (5, 2, 1)  # fixed values: repeated over the sources in order
 MOST = 3  # no source (and so no document) is taken more often
 BLOCK, FINEST = 64, 64  # words in a block; a small source is cut into up to FINEST blocks
-BUCKET_ROWS = 100_000  # documents per prefix-sum task
+BUCKET_ROWS = 2_000  # documents per prefix-sum task
+COPIES = 256  # equal rows that travel as one
+SHARD_SLOTS = 16_384  # slots that are made from one row
 SHARD_BLOCKS = 16_384  # blocks in an output shard
+SOURCES_BROADCAST = 100_000  # sources with their numbers, some 10 MB
 # Primes above 2^33 that multiply block indexes, one per pass over a source.
 PRIMES = (8589934609, 10737418247, 12884901893)
 
@@ -59,26 +62,19 @@ def _mod(k: Column, prime: Column, shift: Column, n: Column) -> Column:
 def draws(plan: DataFrame, seed: int = 0) -> DataFrame:
     """``_source, _shard, _slot, _block``: which block of its source fills each slot.
 
-    Counts per output shard are drawn for each source by systematic resampling: with u pseudorandom per source,
-    shard j gets floor((j+1) s + u) - floor(j s + u) of the source's slots, s being its share per
-    shard.  That is a multinomial draw's mean with less than one block of noise, so totals meet the targets
-    and reruns agree.  Slot k of a source takes block perm(k mod blocks), with another permutation
-    for each pass over the source."""
+    Each slot of a source goes to an output shard by a seeded hash.  So the counts of a source over the shards are a
+    multinomial draw, while their sum is the source's number of slots: totals meet the targets and reruns
+    agree.  Slot k of a source takes block perm(k mod blocks), with another permutation for each pass over the source."""
     live = plan.where("_slots > 0")
     everything = F.sum("_slots").over(Window.partitionBy())
     live = live.withColumn("_shards", F.greatest(F.ceil(everything / SHARD_BLOCKS), F.lit(1)).cast("long"))
-    live = live.withColumn("_u", F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(1 << 20)) / float(1 << 20))
-    share = F.col("_slots") / F.col("_shards")
-
-    def edge(j: Column) -> Column:
-        at = F.floor(j * share + F.col("_u"))
-        return F.when(j <= 0, F.lit(0)).when(j >= F.col("_shards"), F.col("_slots")).otherwise(F.least(at, F.col("_slots")))
-
-    shards = live.withColumn("_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_shards") - 1)))
-    shards = shards.withColumn("_from", edge(F.col("_shard"))).withColumn("_to", edge(F.col("_shard") + 1)).where("_to > _from")
-    # Deal shards out before slots are made: a hot source's slots come from many rows.
-    shards = shards.repartition(F.col("_source"), F.col("_shard"))
-    slots = shards.withColumn("_slot", F.explode(F.sequence("_from", F.col("_to") - 1)))
+    # Deal runs of slots out before the slots are made: a hot source's slots come from many rows.  With a number of its
+    # own the exchange stays as wide as the session's, however few bytes the runs have.
+    runs = live.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1, F.lit(SHARD_SLOTS).cast("long"))))
+    width = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(width, F.col("_source"), F.col("_from"))
+    slots = runs.withColumn("_slot", F.explode(F.sequence("_from", F.least(F.col("_from") + SHARD_SLOTS, F.col("_slots")) - 1)))
+    slots = slots.withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "_source", "_slot"), F.col("_shards")))
     turn = F.floor(F.col("_slot") / F.col("_blocks")).cast("int")
     prime = F.element_at(F.array(*map(F.lit, PRIMES)), turn + 1)
     prime = F.when(F.col("_blocks") % prime == 0, F.lit(1)).otherwise(prime)
@@ -89,18 +85,25 @@ def draws(plan: DataFrame, seed: int = 0) -> DataFrame:
 def offsets(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Every document with the place ``_at`` of its first word in its source.
 
-    Prefix sums in two levels: documents are dealt into buckets of bounded size, sums of buckets are
-    added up per source, then each bucket on its own.  A hot source is many buckets."""
+    Rows that are equal are counted first and travel as one row for each ``COPIES`` of them.  Prefix sums go in two
+    levels: rows are dealt into buckets of bounded size, sums of buckets are added up per source, then each
+    bucket on its own.  A hot source is many buckets, and so is a document that repeats very often."""
     plan = plan.select(F.col("_source").alias("_s"), "_total", "_target", "_blocks", "_buckets")
-    rows = rows.join(F.broadcast(plan) if plan.count() <= 1_000_000 else plan, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_id", "_h"), F.col("_buckets")))
-    sums = rows.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
+    rows = rows.groupBy("_source", "_id", "_h", "_size").agg(F.count("*").alias("_n"))
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))))
+    rows = rows.withColumn("_n", F.least(F.col("_n") - F.col("_copy"), F.lit(COPIES)))
+    rows = rows.join(F.broadcast(plan) if plan.count() <= SOURCES_BROADCAST else plan, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_id", "_h", "_copy"), F.col("_buckets")))
+    words = F.col("_size") * F.col("_n")
+    sums = rows.groupBy("_source", "_bucket").agg(F.sum(words).alias("_sum"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_source", "_bucket").orderBy("_id", "_h", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inner", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    inside = Window.partitionBy("_source", "_bucket").orderBy("_id", "_h", "_size", "_copy").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inner", F.coalesce(F.sum(words).over(inside), F.lit(0)))
     same = F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b"))
-    return rows.join(sums, same).withColumn("_at", F.col("_base") + F.col("_inner")).drop("_s", "_b", "_base", "_inner", "_bucket", "_buckets")
+    rows = rows.join(sums.hint("merge"), same).withColumn("_turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    rows = rows.withColumn("_at", F.col("_base") + F.col("_inner") + F.col("_turn") * F.col("_size"))
+    return rows.drop("_s", "_b", "_base", "_inner", "_bucket", "_buckets", "_n", "_copy", "_turn")
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:
@@ -108,7 +111,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     Each source's words stand in a row and are cut into equal blocks; the mix takes blocks, so a
     document's words are taken as often as the blocks over them.  No word is taken more than three times.
-    Null or empty texts have size 0 and nothing taken; a null source is a source of its own, last in
+    Null or empty texts have size 0 and nothing taken; very long texts are cut into blocks like others; a null source is a source of its own, last in
     order; repeated rows are separate stretches; further columns are left out; empty gives empty."""
     return _taken(df, id_col, text_col, source_col, seed)[0]
 
@@ -122,8 +125,8 @@ def _taken(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int
     placed = stored(placed, "places")
     pieces = _pieces(placed)
     same = F.col("p._source").eqNullSafe(F.col("t._source")) & (F.col("p._block") == F.col("t._block"))
-    taken = pieces.alias("p").join(times.alias("t"), same).groupBy("_row").agg(F.sum(F.col("_words") * F.col("_times")).alias("_taken"))
-    out = placed.join(taken, "_row", "left").select(
+    taken = pieces.alias("p").join(times.alias("t").hint("merge"), same).groupBy("_row").agg(F.sum(F.col("_words") * F.col("_times")).alias("_taken"))
+    out = placed.join(taken.hint("merge"), "_row", "left").select(
         F.col("_id").alias(id_col),
         F.col("_size").alias("size"),
         F.col("_total").alias("source_size"),

@@ -61,6 +61,7 @@ def frame(spark):
 def test_hot_sources_nulls_and_repeats(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
     monkeypatch.setattr(mixing, "SHARD_BLOCKS", 100)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 7)
     checked(ROWS, mixing.mix(frame(spark)).collect(), 0.01)
     assert mixing.mix(frame(spark).limit(0)).count() == 0
 
@@ -85,6 +86,30 @@ def test_permutation_covers_all_blocks(spark):
             assert len(set(part)) == len(part) and set(part) <= set(range(blocks))
 
 
+def test_one_document_that_repeats_very_often(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(mixing, "COPIES", 16)
+    rows = [(1, "hot", "a b c d e f g")] * 900 + [(2 + i, "other", "x y " * 9) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    checked(rows, mixing.mix(df).collect(), 0.01)
+    sized = mixing.sized(df, "doc_id", "text", "source")
+    placed = mixing.offsets(sized, mixing.targets(sized)).where("_source = 'hot'")
+    assert sorted(r["_at"] for r in placed.collect()) == [7 * i for i in range(900)]
+
+
+def test_counts_per_shard_are_a_multinomial_draw(spark, monkeypatch):
+    """Pearson's statistic over the shards lies where that of a multinomial does; the totals are those planned."""
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 400)
+    plan = spark.createDataFrame([("a", 0, 0.0, 30_000, 30_000, 1), ("b", 0, 0.0, 9_000, 10_000, 1)], "_source string, _total long, _target double, _blocks long, _slots long, _buckets long")
+    for seed in (0, 1):
+        got = mixing.draws(plan, seed).groupBy("_source", "_shard").count().collect()
+        for source, slots in (("a", 30_000), ("b", 10_000)):
+            counts = [r["count"] for r in got if r["_source"] == source]
+            assert sum(counts) == slots and len(counts) == 100
+            mean = slots / 100
+            assert 55 < sum((n - mean) ** 2 / mean for n in counts) < 155  # 99 degrees of freedom
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = mixing.op9_mix(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
