@@ -64,7 +64,7 @@ def _exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 
 def search(tree: Tree, vectors: np.ndarray, lifted: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, factor: float) -> Iterator[tuple]:
-    """For each query its ``k`` best of the shard (ties: smaller id), without the id ``own``.
+    """For each query the places and scores of its ``k`` best rows of the shard (ties: smaller id), without the id ``own``.
 
     All queries go down together.  A node is left out for a query when its distance bound, times
     ``factor``, is beyond the query's k-th best so far; 1 is exact, more is faster and loses some."""
@@ -72,7 +72,9 @@ def search(tree: Tree, vectors: np.ndarray, lifted: np.ndarray, ids: np.ndarray,
     asked = np.hstack([queries, np.zeros((n, 1))])
     norms = (queries**2).sum(axis=1)
     top = (lifted[0] ** 2).sum()
-    keep = min(k + 1, count)
+    # Rows with a query's own id (sorted, so side by side) may be among its best and don't count.
+    mine = np.searchsorted(ids, own, "right") - np.searchsorted(ids, own, "left")
+    keep = min(k + int(mine.max(initial=0)), count)
     # Rounding slack: bounds and block products may be off by some units in the last place.
     slack = 1e-9 * (1.0 + np.sqrt(norms.max(initial=0.0) * top) + top + norms.max(initial=0.0))
     best = np.full((n, keep), -np.inf)  # products, unordered
@@ -112,7 +114,7 @@ def search(tree: Tree, vectors: np.ndarray, lifted: np.ndarray, ids: np.ndarray,
         near = near[ids[near] != own[i]]
         scores = _exact(vectors[near], queries[i])
         first = np.lexsort((ids[near], -scores))[:k]
-        yield ids[near][first], scores[first]
+        yield near[first], scores[first]
 
 
 def valid(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -129,31 +131,29 @@ def _norm2():
 
 
 def build_index(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, dict[int, float]]:
-    """All vectors packed into shards ``_dim, _shard, _ids, _vectors, _order, _nodes`` of about ``SHARD_ROWS`` rows,
+    """All vectors packed into shards ``_dim, _shard, _ids, _vectors, _copies, _order, _nodes`` of about ``SHARD_ROWS`` rows,
     each with its tree, and the largest norm per number of components (vectors of unlike
-    lengths are never compared).  Rows with equal ids and vectors count once."""
-    rows = valid(df, id_col, vector_col)
+    lengths are never compared).  Rows with equal ids and vectors are one row with their number in ``_copies``."""
+    rows = valid(df, id_col, vector_col).groupBy("_id", "_v").agg(F.count("*").alias("_n"))
+    rows = stored(rows, "vectors")
     sizes = rows.groupBy(F.size("_v").alias("d")).agg(F.count("*").alias("n"), F.max(_norm2()).alias("m")).collect()
     counts = {r["d"]: r["n"] for r in sizes}  # as many entries as there are vector lengths
     shards = F.coalesce(*[F.when(F.size("_v") == d, -(-n // SHARD_ROWS)) for d, n in counts.items()], F.lit(1))
-    dealt = rows.withColumn("_dim", F.size("_v")).withColumn("_shard", F.pmod(F.xxhash64("_id"), shards).cast("int"))
+    dealt = rows.withColumn("_dim", F.size("_v")).withColumn("_shard", F.pmod(F.xxhash64("_id", "_v"), shards).cast("int"))
     greatest = {r["d"]: float(np.sqrt(r["m"])) for r in sizes}
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_id", kind="stable")
-        ids, vectors = pdf["_id"].to_numpy(np.int64), np.stack(pdf["_v"].to_numpy())
-        keep = np.ones(len(ids), bool)
-        keep[1:] = (ids[1:] != ids[:-1]) | (vectors[1:] != vectors[:-1]).any(axis=1)
-        ids, vectors = ids[keep], vectors[keep]
+        ids, vectors, copies = pdf["_id"].to_numpy(np.int64), np.stack(pdf["_v"].to_numpy()), pdf["_n"].to_numpy(np.int64)
         tree = build(_lift(vectors, greatest[key[0]]))
         flat = np.array([[lo, hi, p, *(x for c in (ch or ((-1, 0, 0),) * 2) for x in c)] for lo, hi, p, ch in tree.nodes], np.float64)
-        return pd.DataFrame([[*key, ids.tobytes(), vectors.tobytes(), tree.order.astype(np.int64).tobytes(), flat.tobytes()]], columns=_INDEX)
+        return pd.DataFrame([[*key, ids.tobytes(), vectors.tobytes(), copies.tobytes(), tree.order.astype(np.int64).tobytes(), flat.tobytes()]], columns=_INDEX)
 
-    schema = "_dim int, _shard int, _ids binary, _vectors binary, _order binary, _nodes binary"
+    schema = "_dim int, _shard int, _ids binary, _vectors binary, _copies binary, _order binary, _nodes binary"
     return dealt.groupBy("_dim", "_shard").applyInPandas(pack, schema), greatest
 
 
-_INDEX = ["_dim", "_shard", "_ids", "_vectors", "_order", "_nodes"]
+_INDEX = ["_dim", "_shard", "_ids", "_vectors", "_copies", "_order", "_nodes"]
 
 
 def _lift(vectors: np.ndarray, greatest: float) -> np.ndarray:
@@ -177,7 +177,9 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, id_c
     ``factor`` relaxes the pruning (see ``search``); 1 restores the exact search.  Vectors that are
     null, zero or hold a null or non-finite component take no part on either side; fewer than ``k``
     candidates are all returned; empty tables give an empty result; further columns are left out.
-    A query that repeats is answered once.
+    Rows of ``df`` that repeat are candidates each, as often as they stand there; rows with the query's id are
+    none of its candidates.  A query row that repeats is answered once; an id with several vectors is as many queries, each with
+    ranks of its own.
 
     Each task searches one block of at most about ``QUERY_ROWS`` queries in one shard, so its memory does not depend
     on the tables.  Work is queries times vectors in the worst case, as any exact search."""
@@ -186,7 +188,7 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, id_c
     asked = valid(queries, id_col, vector_col).withColumn("_dim", F.size("_v"))
     # As many blocks as the queries need; the count is one number.
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    asked = asked.withColumn("_block", F.pmod(F.xxhash64(F.col("_id") + 1), F.lit(blocks)).cast("int")).groupBy("_dim", "_block").agg(F.collect_set(F.struct("_id", "_v")).alias("_asked"))
+    asked = asked.withColumn("_block", F.pmod(F.xxhash64(F.col("_id") + 1), F.lit(blocks)).cast("int")).groupBy("_dim", "_block").agg(F.collect_set(F.struct("_id", "_v", F.xxhash64("_v").alias("_m"))).alias("_asked"))
     pairs = index.join(asked, "_dim").repartition(F.col("_dim"), F.col("_shard"), F.col("_block"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,12 +200,20 @@ def nearest(df: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, id_c
                 q = np.array([a["_v"] for a in r.asked], np.float64).reshape(len(own), r.dim)
                 lifted = _lift(vectors, greatest[r.dim])
                 found = search(_tree(r.order, r.nodes), vectors, lifted, ids, q, own, k, factor)
-                out = [(o, i, s) for o, (near, scores) in zip(own, found, strict=True) for i, s in zip(near, scores, strict=True)]
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    pairs = pairs.select(*[F.col(f"_{c}").alias(c) for c in ("dim", "ids", "vectors", "order", "nodes", "asked")])
-    local = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                copies, marks = np.frombuffer(r.copies, np.int64), [a["_m"] for a in r.asked]
+                out = [
+                    (o, m, ids[i], s, min(copies[i], k))
+                    for o, m, (near, scores) in zip(own, marks, found, strict=True)
+                    for i, s in zip(near, scores, strict=True)
+                ]
+                kinds = {"query_id": "int64", "mark": "int64", "vec_id": "int64", "score": "float64", "n": "int64"}
+                yield pd.DataFrame(out, columns=list(kinds)).astype(kinds)
+
+    pairs = pairs.select(*[F.col(f"_{c}").alias(c) for c in ("dim", "ids", "vectors", "copies", "order", "nodes", "asked")])
+    local = pairs.mapInPandas(run, "query_id long, mark long, vec_id long, score double, n long")
+    # More than k copies of a row can't all be among the k best.
+    local = local.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    best = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     ranked = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

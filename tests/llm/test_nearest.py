@@ -39,7 +39,24 @@ def test_ties_shards_and_odd_rows(spark, monkeypatch):
     odd = [(900, None), (901, [0.0] * 6), (902, [float("nan")] * 6), (903, [None, 1.0, 1.0, 1.0, 1.0, 1.0]), (904, [float("inf")] * 6), (None, [1.0] * 6), (905, []), (3, fine[3][1])]
     df = spark.createDataFrame(fine + odd, "vec_id long, embedding array<double>").selectExpr("*", "1 AS rank", "2 AS score", "3 AS _v")
     got = answers(nearest.nearest(df, df.where("vec_id % 20 = 0"), 20))
-    assert got == brute(fine, [r for r in fine if r[0] % 20 == 0], 20)
+    assert got == brute([*fine, (3, fine[3][1])], [r for r in fine if r[0] % 20 == 0], 20)
+
+
+def test_rows_that_repeat(spark):
+    """Each row is a candidate; an id with two vectors is two queries."""
+    rows = [(1, [1.0, 0.0])] * 30 + [(2, [3.0, 1.0])] * 3 + [(0, [1.0, 0.0])] * 2 + [(0, [0.0, 1.0]), (4, [2.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, df.where("vec_id = 0"), 5).orderBy("rank", "score").collect()
+    one = [(2, 3.0)] * 3 + [(4, 2.0), (1, 1.0)]
+    two = [(4, 5.0)] + [(2, 1.0)] * 3 + [(1, 0.0)]
+    want = sorted((0, rank, i, s) for found in (one, two) for rank, (i, s) in enumerate(found, 1))
+    assert sorted(map(tuple, got)) == want
+    many = [(0, [float(i), 1.0]) for i in range(1, 40)] + [(i, [0.5, i / 64]) for i in range(1, 30)]
+    df = spark.createDataFrame([(0, [1.0, 0.0])] + many, "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, df.where("vec_id = 0 AND embedding[1] = 0"), 5)
+    assert answers(got) == {0: [(i, 0.5) for i in range(1, 6)]}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert nearest.nearest(df.where("vec_id < 2"), df.where("vec_id = 0"), 50).count() == 60
 
 
 def test_few_rows_and_other_lengths(spark):
