@@ -28,7 +28,7 @@ SAMPLE_ROWS = 4000
 # are so many lexical ones that even a very long text meets none of the model's by chance.
 SHAPES, LEXICAL = 1 << 12, 1 << 48
 PREFIXES = (4, 5, 6)
-KEPT_WORDS = 500_000  # words whose buckets each Python worker remembers
+KEPT_WORDS = 500_000  # words that each Python worker remembers, in one table (some 60 MB)
 # A lexicon entry stands in this share of the documents in question, and this share of the others.
 OFTEN, SELDOM = 0.012, 0.0005
 # Buckets the linear model uses at most, and how many times more frequent a lexical one must be.
@@ -44,7 +44,6 @@ _BEYOND = re.compile(r"[^\x00-\x7f]+")
 _NO_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
 _NO_CAPITALS = bytes(c for c in range(128) if not chr(c).isupper())
 _UPPER, _LOWER, _DIGITS = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"\d+")
-_BUCKETS: dict[str, tuple[int, ...]] = {}
 
 
 def _bucket(kind: str, text: str) -> int:
@@ -53,12 +52,7 @@ def _bucket(kind: str, text: str) -> int:
 
 def _word_buckets(word: str) -> tuple[int, ...]:
     """Buckets of the word itself and of its prefixes."""
-    found = _BUCKETS.get(word)
-    if found is None:
-        found = (_bucket("w", word), *(_bucket("p", word[:n]) for n in PREFIXES if len(word) >= n))
-        if len(_BUCKETS) < KEPT_WORDS and len(word) <= 64:
-            _BUCKETS[word] = found
-    return found
+    return (_bucket("w", word), *[_bucket("p", word[:n]) for n in PREFIXES if len(word) >= n])
 
 
 def lexical(text: str) -> np.ndarray:
@@ -78,7 +72,8 @@ def _shape(word: str) -> str:
     return _DIGITS.sub("0", _LOWER.sub("a", _UPPER.sub("A", word)))[-4:]
 
 
-_SHAPES: dict[str, int] = {}
+def _shape_bucket(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(_shape(word)) % (SHAPES - 1) + 1
 
 
 def repeated(words: list[str]) -> int:
@@ -89,15 +84,15 @@ def repeated(words: list[str]) -> int:
 def shapes(words: list[str], counted: Counter[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of word shapes, and of words that repeat the one before, with their shares."""
     counts: dict[int, int] = {}
-    if again := repeated(words):
-        counts[0] = again
     for word, n in counted.items():
-        at = _SHAPES.get(word)
-        if at is None:
-            at = xxhash.xxh3_64_intdigest(_shape(word)) % (SHAPES - 1) + 1
-            if len(_SHAPES) < KEPT_WORDS and len(word) <= 64:
-                _SHAPES[word] = at
+        at = _shape_bucket(word)
         counts[at] = counts.get(at, 0) + n
+    return _shares(counts, words)
+
+
+def _shares(counts: dict[int, int], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    if again := repeated(words):
+        counts[0] = again
     keys = sorted(counts)
     return np.array(keys, np.int64), np.array([counts[k] / max(1, len(words)) for k in keys], np.float32)
 
@@ -238,26 +233,29 @@ class Model:
     toxic_bias: float
 
     def __post_init__(self) -> None:
-        self.found: dict[str, tuple[int, ...]] = {}
-
-    def _buckets(self, token: str) -> tuple[int, ...]:
-        """Buckets of the model that the words of a token (a run without blanks) fall into."""
-        found = self.found.get(token)
-        if found is None:
-            words = _WORD.findall(token.lower())
-            found = tuple(k for word in words for k in _word_buckets(word) if k in self.junk or k in self.toxic)
-            if len(self.found) < KEPT_WORDS and len(token) <= 64:
-                self.found[token] = found
+        self.found: dict[str, tuple[int, tuple[int, ...]]] = {}
+        self.same: dict[tuple, tuple] = {}
+
+    def _token(self, token: str) -> tuple[int, tuple[int, ...]]:
+        """The shape of a token (a run without blanks) and the buckets of the model that its words fall into."""
+        words = _WORD.findall(token.lower())
+        found = _shape_bucket(token), tuple(k for word in words for k in _word_buckets(word) if k in self.junk or k in self.toxic)
+        if len(self.found) < KEPT_WORDS and len(token) <= 64:
+            # Most tokens share their entry with many others.
+            self.found[token] = found = self.same.setdefault(found, found)
         return found
 
     def scores(self, text: str) -> tuple[float, float]:
         words = text.split()
-        counted = Counter(words)
-        keys, shares = shapes(words, counted)
-        present = dict(zip(keys.tolist(), shares.tolist(), strict=True))
-        for token in counted:
-            for key in self._buckets(token):
-                present[key] = 1.0
+        counts: dict[int, int] = {}
+        own: set[int] = set()
+        for token, n in Counter(words).items():
+            at, buckets = self.found.get(token) or self._token(token)
+            counts[at] = counts.get(at, 0) + n
+            if buckets:
+                own.update(buckets)
+        keys, shares = _shares(counts, words)
+        present = dict(zip(keys.tolist(), shares.tolist(), strict=True)) | dict.fromkeys(own, 1.0)
         out = []
         for weights, bias in ((self.junk, self.junk_bias), (self.toxic, self.toxic_bias)):
             z = bias + sum(weights[k] * v for k, v in sorted(present.items()) if k in weights)

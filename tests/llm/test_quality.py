@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from siltstone.llm import quality
@@ -36,3 +38,32 @@ def test_odd_rows(spark, docs):
         assert got.columns == ["doc_id", "junk", "toxic", "keep"] and got.count() == docs.count()
     assert quality.classify(docs.limit(0), labels).count() == 0
     assert quality.kept(more, labels.limit(0)).columns == more.columns
+
+
+def test_what_a_worker_remembers_stays_small():
+    """One small entry for each word, from the two passes over all texts: these live beside the JVM of an executor."""
+    letters = "abcdefghijklmnopqrst"
+    ends = [a + b for a in letters for b in letters]
+    texts = [" ".join(f"word{a}{b}," for b in ends) for a in ends]
+    model = quality.Model({1: 0.5}, -3.0, {quality.SHAPES + 1: 0.5}, -4.0)
+    lexicons = quality.Lexicons([np.arange(3), np.arange(3)])
+    tracemalloc.start()
+    try:
+        for text in texts:
+            assert lexicons.votes(text) == [0, 0]
+            assert model.scores(text) == model.scores(text)
+        assert tracemalloc.get_traced_memory()[0] < 50e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_scores_are_the_weighted_features():
+    text = "The THE the the x1, A-b the, a--b ünd ÜND!!"
+    words = text.split()
+    keys, shares = quality.shapes(words, quality.Counter(words))
+    found = dict(zip(keys.tolist(), shares.tolist(), strict=True)) | dict.fromkeys(quality.lexical(text).tolist(), 1.0)
+    weights = {k: 0.1 + 0.01 * n for n, k in enumerate(sorted(found)) if n % 2}
+    z = sum(w * found[k] for k, w in sorted(weights.items())) - 1
+    model = quality.Model(weights, -1.0, {}, 2.0)
+    for _ in range(2):  # the second time from memory
+        assert np.allclose(model.scores(text), [1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-2.0))])
